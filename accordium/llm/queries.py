@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
 from . import decontaminate as op1
+from . import tokens as op2
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.token_output(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output}
 
 
 def oracle_sql() -> dict[str, str]:
