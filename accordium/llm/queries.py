@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import table
 from . import decontaminate as op1
 from . import tokens as op2
+from . import jaccard as op3
+from . import media as op4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +23,16 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.token_output(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.ngram_jaccard(table(spark, sf_dir, "documents"))
+
+
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.stored_media(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media}
 
 
 def oracle_sql() -> dict[str, str]:
