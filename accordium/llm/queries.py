@@ -11,6 +11,8 @@ from . import decontaminate as op1
 from . import tokens as op2
 from . import jaccard as op3
 from . import media as op4
+from . import quality as op5
+from . import toxicity as op7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,8 +33,16 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.stored_media(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
