@@ -13,6 +13,8 @@ from . import jaccard as op3
 from . import media as op4
 from . import quality as op5
 from . import toxicity as op7
+from . import urls as op6
+from . import language as op10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,8 +43,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.url_filter(table(spark, sf_dir, "pages"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10.language(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op6_url_filter": op6_url_filter, "op10_language": op10_language}
 
 
 def oracle_sql() -> dict[str, str]:
