@@ -15,6 +15,8 @@ from . import quality as op5
 from . import toxicity as op7
 from . import urls as op6
 from . import language as op10
+from . import packing as op8
+from . import lm as op9
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +53,16 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.language(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.score(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op6_url_filter": op6_url_filter, "op10_language": op10_language}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op6_url_filter": op6_url_filter, "op10_language": op10_language, "op8_best_fit": op8_best_fit, "op9_lm_score": op9_lm_score}
 
 
 def oracle_sql() -> dict[str, str]:
