@@ -18,6 +18,10 @@ from accordium.llm.quality import keep_good
 from accordium.session import table
 
 
+#: Ids are broadcast up to so many (8 bytes each); beyond that Spark shuffles both sides.
+BROADCAST_IDS = 2_000_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts 1 for."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
@@ -28,17 +32,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
+def _by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs joined with a column of distinct ids, null included; the ids are broadcast only where they are few enough."""
+    ids = written(ids.select(F.col(ids.columns[0]).alias("_id")), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, docs["doc_id"].eqNullSafe(F.col("_id")), how)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least doc_id; of rows that repeat it, one of those with the least text."""
-    groups = ngram_jaccard(docs).where("component_id is null or doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(groups, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """Of each group of linked documents those with its least doc_id, of rows that are repeated one; rows without an id stay."""
+    least = ngram_jaccard(docs).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
+    kept = _by_ids(docs, least, "left_semi")
+    repeated = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_hit")), "left_anti")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
+    return _by_ids(docs, found, "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
