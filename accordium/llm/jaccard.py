@@ -74,6 +74,13 @@ def _spare(n, percent: int):
     return n - F.ceil(F.lit(percent) * n / 100)
 
 
+def _may_link(percent: int):
+    """Whether groups x and y that meet in a shingle can be linked: by their sizes, and by what can be common in front of it
+    (no shingle of one's own) and from it on."""
+    most = F.least(F.col("n_x") - F.col("own_x") - F.col("at_x"), F.col("n_y") - F.col("own_y") - F.col("at_y")) + F.least("at_x", "at_y")
+    return (F.lit(100) * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose sets are similar enough."""
     a, b = sets.select(F.col("cls").alias("a"), F.col("keys").alias("ka")), sets.select(F.col("cls").alias("b"), F.col("keys").alias("kb"))
@@ -92,11 +99,11 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
     members = written(prefixes.withColumn("group", F.xxhash64("n", "own", "prefix")), "prefixes")
     groups = members.groupBy("group").agg(F.min("cls").alias("head"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("prefix").alias("prefix"))
     heads = groups.select("group", "head")
-    tokens = written(groups.select("group", "head", "n", F.posexplode("prefix").alias("at", "p"), "own").select("group", "head", "n", F.col("p.key").alias("key"), (F.col("at") + F.col("own")).cast("long").alias("at")), "tokens")
+    tokens = written(groups.select("group", "head", "n", "own", F.posexplode("prefix").alias("at", "p")).select("group", "head", "n", "own", F.col("p.key").alias("key"), "at"), "tokens")
 
-    # A hub for each bucket, and each group's head for its members.
-    hubs = tokens.groupBy("key").agg(F.min("head").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "a")
-    first = tokens.join(hubs, "key").where("a <> head").select("a", F.col("head").alias("b"))
+    # A hub for each bucket, the one with the fewest shingles of its own, and each group's head for its members.
+    hubs = tokens.groupBy("key").agg(F.min(F.struct("own", "head", "n", "at")).alias("h"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", *(F.col(f"h.{c}").alias(f"{c}_x") for c in ("head", "n", "own", "at")))
+    first = tokens.select("key", *(F.col(c).alias(f"{c}_y") for c in ("head", "n", "own", "at"))).join(hubs, "key").where(F.col("head_x") != F.col("head_y")).where(_may_link(percent)).select(F.col("head_x").alias("a"), F.col("head_y").alias("b"))
     first = first.union(members.join(heads, "group").where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))).distinct()
     edges = written(_verified(first, sets, percent), "links")
     found = written(components(edges), "components")
@@ -106,11 +113,9 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
     spread = placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     met = tokens.join(spread, "group")
     open_keys = met.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("key")
-    met = met.join(open_keys, "key").select("key", "group", "n", "at", "low", "high")
-    x, y = met.select("key", *(F.col(c).alias(f"{c}_x") for c in ("group", "n", "at", "low", "high"))), met.select("key", *(F.col(c).alias(f"{c}_y") for c in ("group", "n", "at", "low", "high")))
-    most = F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) + F.least("at_x", "at_y")  # the overlap can't be larger
-    fits = (F.lit(100) * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (100 * most >= percent * (F.col("n_x") + F.col("n_y") - most))
-    pairs = x.join(y, "key").where((F.col("group_x") <= F.col("group_y")) & ((F.col("low_x") != F.col("low_y")) | (F.col("high_x") != F.col("high_y")) | (F.col("low_x") != F.col("high_x"))) & fits).select("group_x", "group_y").distinct()
+    met = met.join(open_keys, "key").select("key", "group", "n", "own", "at", "low", "high")
+    x, y = met.select("key", *(F.col(c).alias(f"{c}_x") for c in ("group", "n", "own", "at", "low", "high"))), met.select("key", *(F.col(c).alias(f"{c}_y") for c in ("group", "n", "own", "at", "low", "high")))
+    pairs = x.join(y, "key").where((F.col("group_x") <= F.col("group_y")) & ((F.col("low_x") != F.col("low_y")) | (F.col("high_x") != F.col("high_y")) | (F.col("low_x") != F.col("high_x"))) & _may_link(percent)).select("group_x", "group_y").distinct()
     left, right = (placed.select(F.col("group").alias(f"group_{s}"), F.col("cls").alias(c), F.col("root").alias(f"root_{s}")) for s, c in (("x", "a"), ("y", "b")))
     rest = pairs.join(left, "group_x").join(right, "group_y").where("root_x <> root_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(_verified(rest, sets, percent), "links")
