@@ -60,6 +60,7 @@ def test_backup(spark, people, tmp_path):
         lake.freeze(spark, str(tmp_path / "t"), str(tmp_path / "b"), "one")
     victim = next((tmp_path / "b/one/objects/log").glob("*.json"))
     victim.write_text("changed")
+    (victim.parent / f".{victim.name}.crc").unlink()
     assert [r.problem for r in lake.verify(spark, str(tmp_path / "b"), "one").collect()] == ["changed"]
 
 
