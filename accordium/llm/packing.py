@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 CAPACITY = 8192
 GROUP = 4096
+MOST_TASKS = 20_000
 
 
 def pack_group(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[tuple[int, int]]:
@@ -60,6 +61,7 @@ def best_fit(docs: DataFrame, size: Column | None = None, cluster: Column | None
     many = rows.agg(F.sum(F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)))).first()[0] or 0
     groups = max(1, -(-int(many) // group))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "print", "piece"), F.lit(groups)))
+    dealt = dealt.repartition(min(groups, MOST_TASKS), "part")  # by number: the rows are few bytes, but costly
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
