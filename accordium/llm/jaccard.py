@@ -7,7 +7,9 @@
    shingles: linked classes share one of them. Classes with the same prefix and size are one group.
 4. Groups that meet in a prefix shingle are filtered by size and by position. First each bucket's members are held against
    one hub and the links found become components; then every pair of members of different components is verified, so no
-   link that matters to a component is lost, while a bucket of near copies isn't expanded into all its pairs.
+   link that matters to a component is lost, while a bucket of near copies isn't expanded into all its pairs. Groups that
+   meet in many shingles are paired in the first: where one of the shingles just before is common as well, a pair is left
+   to that one, and the first common shingle has none before it.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from .graph import components
 SHARE = 3
 #: Ids of classes are broadcast up to so many (8 bytes each); beyond that Spark shuffles both sides.
 BROADCAST_IDS = 2_000_000
+#: Where groups meet in a shingle, so many that precede it in either prefix are looked through for an earlier meeting.
+LOOK_BACK = 32
 
 
 def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
@@ -113,9 +117,11 @@ def _linked(sets: DataFrame, percent: int) -> DataFrame:
     spread = placed.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     met = tokens.join(spread, "group")
     open_keys = met.groupBy("key").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("key")
-    met = met.join(open_keys, "key").select("key", "group", "n", "own", "at", "low", "high")
-    x, y = met.select("key", *(F.col(c).alias(f"{c}_x") for c in ("group", "n", "own", "at", "low", "high"))), met.select("key", *(F.col(c).alias(f"{c}_y") for c in ("group", "n", "own", "at", "low", "high")))
-    pairs = x.join(y, "key").where((F.col("group_x") <= F.col("group_y")) & ((F.col("low_x") != F.col("low_y")) | (F.col("high_x") != F.col("high_y")) | (F.col("low_x") != F.col("high_x"))) & _may_link(percent)).select("group_x", "group_y").distinct()
+    before = F.slice("prefix.key", F.greatest(F.col("at") + 1 - LOOK_BACK, F.lit(1)), F.least("at", F.lit(LOOK_BACK)))
+    columns = ("group", "n", "own", "at", "low", "high", "before")
+    met = met.join(open_keys, "key").join(groups.select("group", "prefix"), "group").withColumn("before", before)
+    x, y = (met.select("key", *(F.col(c).alias(f"{c}_{s}") for c in columns)) for s in "xy")
+    pairs = x.join(y, "key").where((F.col("group_x") <= F.col("group_y")) & ((F.col("low_x") != F.col("low_y")) | (F.col("high_x") != F.col("high_y")) | (F.col("low_x") != F.col("high_x"))) & _may_link(percent) & ~F.arrays_overlap("before_x", "before_y")).select("group_x", "group_y").distinct()
     left, right = (placed.select(F.col("group").alias(f"group_{s}"), F.col("cls").alias(c), F.col("root").alias(f"root_{s}")) for s, c in (("x", "a"), ("y", "b")))
     rest = pairs.join(left, "group_x").join(right, "group_y").where("root_x <> root_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(_verified(rest, sets, percent), "links")
