@@ -11,6 +11,7 @@ from ..functions import scalars as fn
 from ..operators import governance as gov
 from ..operators import quality as q
 from ..operators import quarantine as qr
+from ..operators import registry as reg
 from ..operators import sampling as sm
 from ..session import table
 
@@ -493,6 +494,85 @@ def bad_row_injection(spark, d):
     return idle.unionByName(c.agg(F.min("c_custkey").alias("c_custkey"))).distinct()
 
 
+CATALOG_SQL = """(select p_brand as "table", 'c' || (p_partkey % 40) as name, p_partkey, ['DIRECT_IDENTIFIER', 'QUASI_IDENTIFIER', 'NOT_PII', 'OTHER'][p_size % 4 + 1] as class,
+  ['NONE', 'TOKENIZE_HMAC', 'ENCRYPT_AESGCM', 'MASK'][p_partkey % 4 + 1] as treatment, case when p_size % 3 = 0 then 'PLATFORM' when p_size % 7 = 0 then 'TEAM' end as scope, case when p_size > 25 then p_type end as reason from part)"""
+
+
+@query(f"""with c as {CATALOG_SQL}, f as (select distinct p_brand as "table", 'c' || (p_size % 30) as name from part where p_brand <> 'Brand#13'), k as (select distinct "table" from f),
+ e as (select c.*, k."table" is not null as known, f.name is not null as live from c left join k using ("table") left join f on f."table" = c."table" and f.name = c.name), p as (select *, class in ('DIRECT_IDENTIFIER', 'QUASI_IDENTIFIER') as protected, treatment in ('TOKENIZE_HMAC', 'ENCRYPT_AESGCM') as treated from e)
+ select "table", name, finding, count(*) as n from (select "table", name, 'UNKNOWN_TABLE' as finding from p where not known union all select "table", name, 'BAD_CLASS' from p where known and class = 'OTHER' union all select "table", name, 'BAD_TREATMENT' from p where known and treatment = 'MASK'
+ union all select "table", name, 'UNTREATED' from p where known and protected and not treated union all select "table", name, 'TREATED_NOT_PII' from p where known and class = 'NOT_PII' and treatment <> 'NONE' union all select "table", name, 'NO_REASON' from p where known and class = 'NOT_PII' and reason is null
+ union all select "table", name, 'BAD_SCOPE' from p where known and treated and scope = 'TEAM' union all select "table", name, 'SURVIVES_ERASURE' from p where known and treated and scope = 'PLATFORM' and not (treatment = 'TOKENIZE_HMAC' and class = 'QUASI_IDENTIFIER') union all select "table", name, 'STALE' from p where known and not live
+ union all select distinct "table", 'c7', 'NO_SUBJECT_KEY' from p where known and protected and "table" not in (select "table" from f where name = 'c7')) group by all""")
+def pii_catalog_findings(spark, d):
+    part = table(spark, d, "part")
+
+    def pick(of: str, *names: str):
+        return F.element_at(F.array(*map(F.lit, names)), (F.col(of) % 4 + 1).cast("int"))
+
+    scope = F.when(F.col("p_size") % 3 == 0, "PLATFORM").when(F.col("p_size") % 7 == 0, "TEAM")
+    catalog = part.select(F.col("p_brand").alias("table"), F.concat(F.lit("c"), (F.col("p_partkey") % 40).cast("string")).alias("name"), pick("p_size", "DIRECT_IDENTIFIER", "QUASI_IDENTIFIER", "NOT_PII", "OTHER").alias("class"), pick("p_partkey", "NONE", "TOKENIZE_HMAC", "ENCRYPT_AESGCM", "MASK").alias("treatment"), scope.alias("key_scope"), F.when(F.col("p_size") > 25, F.col("p_type")).alias("reason"))
+    fields = part.where("p_brand <> 'Brand#13'").select(F.col("p_brand").alias("table"), F.concat(F.lit("c"), (F.col("p_size") % 30).cast("string")).alias("name"))
+    return reg.catalog_findings(catalog, fields, "c7").groupBy("table", "name", "finding").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _registries(spark, d):
+    """Registries before and after a change, derived from customers: the rich are new, debtors are removed or moved."""
+    c = table(spark, d, "customer")
+    name, bal = F.col("c_custkey").cast("string"), F.col("c_acctbal")
+    base = c.where(bal < 5000).select(name.alias("dataset"), F.col("c_name").alias("subject"), F.col("c_name").alias("schema"), F.col("c_mktsegment").alias("mode"))
+    head = c.where(bal > -500).select(name.alias("dataset"), F.when(bal < 0, F.lower("c_name")).otherwise(F.col("c_name")).alias("subject"), F.col("c_name").alias("schema"), F.when(bal < 1000, "FULL").otherwise(F.col("c_mktsegment")).alias("mode"))
+    return base, head
+
+
+@query("""select cast(c_custkey as varchar) as dataset, case when c_acctbal < 5000 then c_mktsegment when c_acctbal < 1000 then 'FULL' else c_mktsegment end as mode, 'schema changed' as reason, c_acctbal < 1000 as mode_changed, c_acctbal < 0 as subject_changed
+ from customer where c_acctbal > -500 and c_custkey in (select o_custkey from orders where o_orderstatus = 'P')""")
+def gate_plan(spark, d):
+    changed = table(spark, d, "orders").where("o_orderstatus = 'P'").select("o_custkey").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_name").alias("path"))
+    return reg.gate_plan(*_registries(spark, d), changed)
+
+
+@query("select cast(c_custkey as varchar) as dataset from customer where c_acctbal < 5000 and c_acctbal <= -500")
+def registry_removals(spark, d):
+    return reg.removed_datasets(*_registries(spark, d))
+
+
+@query("select user_id as subject, max(event_id) as version, arg_max(props, event_id) as schema from events group by all")
+def latest_schema(spark, d):
+    return reg.latest_schema(table(spark, d, "events").select(F.col("user_id").alias("subject"), F.col("event_id").alias("version"), F.col("props").alias("schema")))
+
+
+@query("select subject, k, row_number() over (partition by subject order by e, k) as version from (select user_id as subject, cast(json_extract(props, '$.k') as bigint) as k, min(event_id) as e from events group by all)")
+def schema_versions(spark, d):
+    offered = table(spark, d, "events").select(F.col("user_id").alias("subject"), F.col("event_id").alias("at"), F.col("props").alias("schema"))
+    return reg.registered(offered).select("subject", F.get_json_object("canonical", "$.k").cast("long").alias("k"), "version")
+
+
+@query("""with p as (select page_id, regexp_replace(url, '^https?://', '') as path from pages), d as (select distinct regexp_extract(path, '^[^/?#]+/[^/?#]+') as dataset from p)
+ select page_id as id, dataset, case when rtrim(path, '/') like '%/1' and dataset = rtrim(path, '/') then 'topic' else 'delta_path' end as kind from p, d where dataset <> '' and (rtrim(path, '/') = dataset or starts_with(rtrim(path, '/'), dataset || '/'))""")
+def dataset_references(spark, d):
+    pages = table(spark, d, "pages").select("page_id", F.regexp_replace("url", "^https?://", "").alias("path"))
+    datasets = pages.select(F.regexp_extract("path", "^[^/?#]+/[^/?#]+", 0).alias("dataset")).where("dataset <> ''").distinct()
+    named = datasets.select("dataset", F.concat("dataset", F.lit("-value")).alias("subject"), F.when(F.col("dataset").endswith("/1"), F.col("dataset")).alias("topic"), F.concat(F.lit("s3a://"), "dataset").alias("delta_path"))
+    return reg.references(pages.select(F.col("page_id").alias("id"), F.concat(F.lit("s3n://"), "path").alias("literal")).union(pages.where("path like '%/1'").select("page_id", "path")), named)
+
+
+@query("select o_orderkey as request_id, unnest(['orders', o_orderstatus]) as \"table\", unnest([o_custkey, o_custkey + 1]) as rows, unnest([o_orderkey, 1]) as before, unnest([o_orderkey + 2, 3]) as after from orders")
+def audit_tables(spark, d):
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    audit = table(spark, d, "orders").select(key.alias("request_id"), F.array(F.lit("orders"), "o_orderstatus").alias("tables_touched"), F.array(cust, cust + 1).alias("rows_deleted_by_table"), F.array(key, F.lit(1).cast("long")).alias("pre_delete_versions"), F.array(key + 2, F.lit(3).cast("long")).alias("vacuum_versions"))
+    return reg.audit_tables(audit)
+
+
+@query("""with e as (select event_id as id, cast(json_extract(props, '$.k') as bigint) as k, event_type as t from events) select id, 'a.k' as path, cast(k as varchar) as before, cast(k // 2 as varchar) as after from e where k <> k // 2
+ union all select id, 't', t, 'click' from e where t <> 'click' union all select id, 'new', null, t from e""")
+def json_leaf_diff(spark, d):
+    e = table(spark, d, "events").select("event_id", "props", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    before = F.to_json(F.struct(F.col("props").alias("a"), F.col("event_type").alias("t")))  # a is JSON within JSON
+    after = F.to_json(F.struct(F.struct(F.floor(F.col("k") / 2).alias("k")).alias("a"), F.lit("click").alias("t"), F.col("event_type").alias("new")))
+    return reg.leaf_diff(e.select(F.col("event_id").alias("id"), before.alias("before"), after.alias("after")))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
