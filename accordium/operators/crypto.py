@@ -147,6 +147,12 @@ def reveal(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStor
     return out.select(*(F.when(F.col(c).startswith("enc:v1:"), decrypt(c, F.col("_dek"), aad(F.col(subject), table, c))).otherwise(F.col(c)).alias(c) if c in known else F.col(c) for c in df.columns))
 
 
+def decrypt_view(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStore, table: str, subject_id: str) -> DataFrame:
+    """One subject's rows in plain text; SubjectErased where the key is gone, KeyError where there never was one."""
+    store.get(subject_id)
+    return reveal(df.where(F.col(subject).cast("string") == subject_id), catalog, subject, store, table)
+
+
 def nonce_reuse(df: DataFrame, column: str, scope: str) -> DataFrame:
     """(scope, nonce) pairs that occur more than once among encrypted values."""
     return df.where(F.col(column).startswith("enc:v1:")).groupBy(scope, F.split(column, ":")[2].alias("nonce")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

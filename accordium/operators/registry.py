@@ -75,7 +75,7 @@ def references(literals: DataFrame, datasets: DataFrame) -> DataFrame:
     Subjects and topics stand in comma lists, paths are meant by themselves and by what lies below them: a literal's own
     ancestors are joined by equality. The first of subject, topic and delta_path counts.
     """
-    pieces = literals.select("id", F.explode(F.transform(F.split("literal", ","), F.trim)).alias("key"))
+    pieces = literals.select("id", F.explode(F.transform(F.split("literal", ","), lambda p: F.trim(p))).alias("key"))
     plain = lambda c: F.regexp_replace(normal_path(c), "^s3://", "")
     parts = F.split(plain("literal"), "/")
     above = literals.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("key"))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from accordium.operators.crypto import KeyStore, SubjectErased, nonce_reuse, protect, reveal
+from accordium.operators.crypto import KeyStore, SubjectErased, decrypt_view, nonce_reuse, protect, reveal
 from accordium.plans.erasure import Erasure
 from accordium.sources import lake
 
@@ -75,6 +75,8 @@ def test_keys_protect_reveal(spark, people, tmp_path):
     assert nonce_reuse(safe, "name", "id").isEmpty()
     back = reveal(safe, CATALOG, "id", store, "people")
     assert sorted(r.name or "" for r in back.collect()) == sorted(r.name or "" for r in people.collect())
+    own = decrypt_view(safe, CATALOG, "id", store, "people", "S1").collect()
+    assert sorted(r.name or "" for r in own) == sorted(r.name or "" for r in people.where("id = 'S1'").collect())
     first = store.get("S1")
     assert len(first) == 32 and store.get_or_create(people.select("id")).count() == 5 and store.get("S1") == first
     stamp = store.destroy("S1")
@@ -85,6 +87,8 @@ def test_keys_protect_reveal(spark, people, tmp_path):
         store.get_or_create(people.select("id"))
     with pytest.raises(KeyError):
         store.get("unknown")
+    with pytest.raises(SubjectErased):
+        decrypt_view(safe, CATALOG, "id", store, "people", "S1")
     lost = reveal(safe, CATALOG, "id", store, "people").where("id = 'S1'").collect()
     assert all(r.name is None for r in lost)
     with pytest.raises(ValueError):
