@@ -279,6 +279,25 @@ def test_backoff():
     assert m.langs == ["en", "fr"] and m.word(b"thinger").argmax() == 0 and m.word("leço".encode()).argmax() == 1 and m.word(b"zzz").shape == (2,)
 
 
+def test_language_long_words(spark):
+    """Scripts without blanks: what tells the languages apart is behind the first 60 bytes, in 3-byte characters."""
+    rng = np.random.default_rng(8)
+    ja, zh = ([chr(0x4E00 + c + d) for c in range(80)] for d in (100, 400))
+    head = "".join(chr(0x4E00 + c) for c in range(25))
+    rows = [(i, head + "".join(rng.choice(ja if i % 2 else zh, 200)), "ja" if i % 2 else "zh") for i in range(80)]
+    got = language.language(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").collect()
+    assert got and all(r.lang_pred == ("ja" if r.doc_id % 2 else "zh") and r.score > 0.9 for r in got)
+    # n-grams of five characters of any script, from every word; pieces lose none
+    m = language.Model([("a", "一二三四五", 1), ("b", "五四三二一", 1)] + [(x, f"w{i}", 9) for i in range(10_500) for x in "ab"])
+    assert m.word("一二三四五六".encode()).argmax() == 0 and m.word("六五四三二一".encode()).argmax() == 1 and len(m.tables[0][0]) == 10_502
+    whole = m.word("一二三四五".encode() * 300)
+    piece, language.PIECE = language.PIECE, 7
+    try:
+        assert np.allclose(m.word("一二三四五".encode() * 300), whole)
+    finally:
+        language.PIECE = piece
+
+
 def test_oracle_op1(spark, sf):
     import duckdb
 
