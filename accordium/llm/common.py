@@ -38,6 +38,11 @@ def fold_of(doc_id: str | Column, parts: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % parts, F.lit(0).cast("long"))
 
 
+def row_key() -> Column:
+    """A 64-bit key of a row by its doc_id, null or not, and its text; rows that repeat both have the same."""
+    return F.xxhash64(F.col("doc_id"), F.col("doc_id").isNull(), F.col("text"))
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     """A string column as UTF-8 bytes."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()

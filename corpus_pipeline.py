@@ -1,7 +1,8 @@
 """A corpus pipeline of five of the training-data operators.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next stage's
-docs. All but the last return the columns of docs. Rows with a null doc_id are judged like any other.
+docs. All but the last return the columns of docs. Rows are judged each by its own text, whether their doc_id is null, repeated or
+neither: verdicts are carried by a key of doc_id and text.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accordium.llm.common import written
+from accordium.llm.common import row_key, written
 from accordium.llm.decontaminate import decontaminate
 from accordium.llm.jaccard import ngram_jaccard
 from accordium.llm.language import keep_identified
@@ -18,7 +19,7 @@ from accordium.llm.quality import keep_good
 from accordium.session import table
 
 
-#: Ids are broadcast up to so many (8 bytes each); beyond that Spark shuffles both sides.
+#: Keys are broadcast up to so many (8 bytes each); beyond that Spark shuffles both sides.
 BROADCAST_IDS = 2_000_000
 
 
@@ -32,24 +33,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
-def _by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """docs joined with a column of distinct ids, null included; the ids are broadcast only where they are few enough."""
-    ids = written(ids.select(F.col(ids.columns[0]).alias("_id")), "ids")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, docs["doc_id"].eqNullSafe(F.col("_id")), how)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs for an operator, with the row's key for its doc_id."""
+    return docs.select(row_key().alias("doc_id"), "text")
+
+
+def _by_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """docs joined with a column of distinct keys, which are broadcast only where they are few enough."""
+    keys = written(keys.select(F.col(keys.columns[0]).alias("_key")), "keys")
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, row_key() == F.col("_key"), how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents those with its least doc_id, of rows that are repeated one; rows without an id stay."""
-    least = ngram_jaccard(docs).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = _by_ids(docs, least, "left_semi")
+    """One row of each group of linked documents: that with the least doc_id, a null one coming last."""
+    placed = ngram_jaccard(_keyed(docs)).select(F.col("doc_id").alias("key"), "component_id")
+    ids = docs.select(row_key().alias("key"), F.col("doc_id").isNull().alias("missing"), "doc_id").distinct()
+    least = placed.distinct().join(ids, "key").groupBy("component_id").agg(F.min(F.struct("missing", "doc_id", "key")).alias("r"))
+    kept = _by_keys(docs, least.select("r.key"), "left_semi")
     repeated = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return _by_ids(docs, found, "left_anti")
+    found = decontaminate(_keyed(docs), table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
+    return _by_keys(docs, found, "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -329,3 +329,19 @@ def test_pipeline(spark, sf, docs):
         held = out
     for _, stage in p.STAGES[:4]:
         assert stage(spark, docs, sf).schema == docs.schema
+
+
+def test_pipeline_judges_rows(spark, sf):
+    """Null and repeated ids: a row is dropped or kept for its own text only."""
+    import corpus_pipeline as p
+    from accordium.session import table
+
+    item = table(spark, sf, "benchmark").first().text
+    rows = [(None, item), (None, text(60)), (7, item), (7, text(61)), (8, text(62))]
+    out = p.decontaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+    near = [(None, text(70, 60)), (None, text(70, 60) + " end"), (3, text(71, 60)), (None, text(71, 60) + " end"), (4, text(72, 60)), (4, text(72, 60) + " end"), (5, text(73, 60)), (6, text(73, 60) + " end"), (6, text(74, 60)), (None, None), (9, None), (9, text(75, 60)), (9, text(75, 60))]
+    out = sorted(map(tuple, p.near_duplicates(spark, spark.createDataFrame(near, "doc_id long, text string"), sf).collect()), key=str)
+    assert len(out) == len(set(out)) == 8 and set(out) >= {near[k] for k in (2, 6, 8, 9, 10, 11)}
+    assert len({near[0], near[1]} & set(out)) == len({near[4], near[5]} & set(out)) == 1
