@@ -131,7 +131,8 @@ class Additive:
         self.chosen: list[tuple[int, int]] = []
         width = self.pair_bins + 1
         self.pair_tables = np.zeros((0, width * width))
-        if not len(y) or y.min() == y.max():
+        self.learned = bool(len(y)) and y.min() != y.max()
+        if not self.learned:
             return self
         z = np.full(len(y), self.base)
         for _ in range(self.rounds):

@@ -234,10 +234,13 @@ def language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
-    """The rows of docs, all columns, whose language could be told: not `und`, and with a score of `least` or more."""
+    """The rows of docs, all columns, whose language could be told: not `und`, and with a score of `least` or more. Where no
+    language or one only could be learned, all that have letters."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def keep(texts: list[bytes | None]) -> np.ndarray:
+        if len(model.value.langs) < 2:
+            return np.array([_has_letter(t, words_of(t)) for t in texts], bool)
         names, p = Scorer(model.value)(texts)
         return (p >= least) & np.array([n != UNDETERMINED for n in names], bool)
 

@@ -61,6 +61,9 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample_r
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of docs, all columns, whose predicted label is 1."""
+    """The rows of docs, all columns, whose predicted label is 1; all of them where nothing could be learned, without labels or
+    with one label only."""
     model = train(docs, labels)
+    if not model.learned:
+        return docs
     return filtered(docs, lambda texts: sigmoid(model.raw(features(texts))) >= threshold)

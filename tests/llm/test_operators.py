@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from accordium.llm import coder, decontaminate, jaccard, jpeg, language, lm, media, packing, quality, tokens, toxicity, urls
 from accordium.llm.boosting import Additive, Isotonic, Trees, sigmoid
@@ -345,3 +346,13 @@ def test_pipeline_judges_rows(spark, sf):
     out = sorted(map(tuple, p.near_duplicates(spark, spark.createDataFrame(near, "doc_id long, text string"), sf).collect()), key=str)
     assert len(out) == len(set(out)) == 8 and set(out) >= {near[k] for k in (2, 6, 8, 9, 10, 11)}
     assert len({near[0], near[1]} & set(out)) == len({near[4], near[5]} & set(out)) == 1
+
+
+def test_filters_without_classes(spark, docs, labels):
+    """Where nothing could be learned the filters judge none."""
+    rows = sorted(map(str, docs.collect()))
+    for none in (labels.limit(0), labels.selectExpr("doc_id", "cast(null as int) as quality"), labels.selectExpr("doc_id", "0 as quality")):
+        assert sorted(map(str, quality.keep_good(docs, none).collect())) == rows
+    for lang in ("null", "'en'"):
+        kept = language.keep_identified(docs.withColumn("lang", F.expr(f"cast({lang} as string)"))).select("doc_id", "text")
+        assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.select("doc_id", "text").collect() if re.search("[^\\W\\d_]", r.text or ""))
