@@ -14,6 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import row_key
+from .jaccard import ngram_jaccard
+
 CAPACITY = 8192
 GROUP = 4096
 MOST_TASKS = 20_000
@@ -71,3 +74,14 @@ def best_fit(docs: DataFrame, size: Column | None = None, cluster: Column | None
         return pdf[["doc_id", "piece", "start", "size"]].assign(bin_id=[(int(key[0]) << 32) + b for b, _ in found], bin_offset=[o for _, o in found])
 
     return dealt.groupBy("part").applyInPandas(run, f"doc_id {kind}, piece long, start long, size long, bin_id long, bin_offset long")
+
+
+def best_fit_apart(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+    """best_fit with the components of ngram_jaccard as clusters, so that near copies are in conflict too.
+
+    Rows are found again by a key of doc_id and text. Texts without words are in a cluster with equal ones only.
+    """
+    rows = docs.select("doc_id", "text", "source", row_key().alias("key"))
+    found = ngram_jaccard(rows.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "n_shingles", "component_id").distinct()
+    cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.xxhash64("text"))
+    return best_fit(rows.join(found, "key"), cluster=cluster, capacity=capacity, group=group)

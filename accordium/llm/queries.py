@@ -54,7 +54,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op8.best_fit(table(spark, sf_dir, "documents"))
+    return op8.best_fit_apart(table(spark, sf_dir, "documents"))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,3 +356,15 @@ def test_filters_without_classes(spark, docs, labels):
     for lang in ("null", "'en'"):
         kept = language.keep_identified(docs.withColumn("lang", F.expr(f"cast({lang} as string)"))).select("doc_id", "text")
         assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.select("doc_id", "text").collect() if re.search("[^\\W\\d_]", r.text or ""))
+
+
+def test_packing_near_copies(spark, tmp_path):
+    """The query keeps near copies of different sources in bins of their own, whatever their ids."""
+    from accordium.llm import queries
+
+    rows = [(i % 4 or None, f"s{i}", text(90, 60) + f" end{i}") for i in range(8)] + [(20 + i, f"s{i}", text(100 + i, 60)) for i in range(8)] + [(None, "a", None), (None, "b", None), (30, "c", " ")]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op8_best_fit(spark, str(tmp_path)).toPandas()
+    assert len(got) == len(rows)
+    near = got[~(got.doc_id >= 20) & (got["size"] > 0)]
+    assert len(near) == 8 and near.bin_id.nunique() == 8 and got.bin_id.nunique() == 8
