@@ -368,3 +368,15 @@ def test_packing_near_copies(spark, tmp_path):
     assert len(got) == len(rows)
     near = got[~(got.doc_id >= 20) & (got["size"] > 0)]
     assert len(near) == 8 and near.bin_id.nunique() == 8 and got.bin_id.nunique() == 8
+
+
+def test_url_statistics_are_whole(spark):
+    """Suffixes are counted over all labelled URLs, however few the trees see."""
+    rows = [(i, f"http://h{i % 50}.{'org' if i % 2 else 'com'}/{'en' if i % 2 else 'de'}/{i}") for i in range(400)] + [(900, "x://none/y"), (901, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    sums, base, _ = urls.train(pages, urls.RULES, sample_rows=3)
+    got = {(r.k, r.suffix): (r.allowed, r.n) for r in sums.collect()}
+    assert base == 201 / 402 and got[0, "org"] == (200, 200) and got[0, "com"] == (0, 200) and got[1, "h1.org"] == (8, 8) and got[2, "/de"] == (0, 200) and len(got) == 54
+    given = {r.page_id: r.shares for r in urls._with_shares(pages, sums, base).collect()}
+    assert given[900] == given[901] == [base, 0.0] * 3 and np.allclose(given[1][:2], [202.5 / 205, np.log1p(200)])
+    assert urls.url_filter(pages, sample_rows=3).count() == len(rows)
