@@ -1,286 +1,240 @@
 """Adaptive context-mixing range coder for token ids, vectorised over independent blocks.
 
-A block holds up to BLOCK ids and is reset on its own: its sorted distinct ids come first, then one range-coded stream. For
-each id two predictions are looked up, by the last two ids (order 2) and by the last one (order 1). The probability that
-order 2 is right is mixed from the confidences of both in the logistic domain, with weights learned while coding; then comes
-the adaptive probability of order 1, and what neither foresaw is coded by the block's order-0 counts, which are rescaled as
-the block goes on. All arithmetic is on integers, so that a decoder repeats it exactly. Blocks are coded side by side, one id
-of each at a time.
+A frame is cut into blocks of equal length, about BLOCK ids, each with a checksum; all that adapts is reset from block to
+block, so a block can be decoded with the frame's head alone. The head holds the order-0 prediction: how often each id occurs
+in the frame. Inside a block the last two ids (order 2) and the last one (order 1) each predict an id. The probability that
+order 2 is right is mixed in the logistic domain from its own confidence, that of order 1, and the order-0 probability of the
+id, with weights learned while coding; then comes order 1's own id, and what neither foresaw is coded by order 0. All
+arithmetic is on integers, so that a decoder repeats it exactly. Blocks are coded side by side, one id of each at a time.
 """
 
 from __future__ import annotations
 
 import math
 import struct
+import zlib
 from zlib import crc32
 
 import numpy as np
 
+#: Ids in a block, about.
 BLOCK = 2048
-MAGIC = b"CMRC\x01"
-SCALE = 16
-TOTAL = 1 << SCALE
-HEAD = struct.Struct("<HHIII")
+MAGIC = b"CMRC\x02"
+#: Ids in all, blocks, ids in a block, distinct ids, bits of the order-0 scale, bytes of the packed head.
+HEAD = struct.Struct("<QIIIII")
+#: Bytes of a block's stream and its checksum.
+ENTRY = struct.Struct("<II")
+#: Slots of the tables of order 2 and order 1, for each block.
+SLOTS2, SLOTS1 = 1 << 11, 1 << 11
 U = np.uint64
+HALF = U(32)
+LEAST = U(1 << 32)
+#: Distinct ids that a frame can hold: each needs a share of the order-0 scale, which is 20 bits at most.
+MOST_DISTINCT = 1 << 19
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+def _logistic() -> tuple[np.ndarray, np.ndarray]:
     """stretch: ln(p / (1 - p)) in 1/256 by 12-bit probability; squash: its inverse over -2047..2047."""
-    squash = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
+    squash = np.array([min(4094, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
     stretch = np.array([min(2047, max(-2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
     return stretch, squash
 
 
-STRETCH, SQUASH = _tables()
+STRETCH, SQUASH = _logistic()
+#: Starting chances, of 4096, of a prediction that was right 0 to 7 times in a row (twice each: alone, and where both orders agree).
+CHANCE = np.repeat(np.array([200, 400, 1200, 1800, 2400, 2800, 3200, 3600], np.int64), 2)
+SURE = STRETCH[CHANCE]
 
 
-def _rescaled(step: int) -> bool:
-    return step % 512 == 0 or step in (16, 64, 160, 320)
+class _Order0:
+    """The frame's counts as whole shares of 2^bits, each at least 1."""
 
+    def __init__(self, shares: np.ndarray, bits: int):
+        self.bits, self.shares = bits, shares.astype(U)
+        ends = np.cumsum(shares)
+        self.starts = (ends - shares).astype(U)
+        # by whole bits, so that every machine has the same table
+        self.stretch = np.array([round(177.45 * (int(s).bit_length() - 1 - bits)) for s in shares], np.int64)
 
-class _Model:
-    """Predictions of all blocks; `n` of them are still going on."""
-
-    def __init__(self, blocks: int, size: np.ndarray):
-        self.width = int(size.max())
-        self.size, lanes = size, np.arange(blocks)
-        self.at1, self.at2 = lanes * self.width, lanes * BLOCK
-        self.t1, self.t2 = np.zeros(blocks * self.width, np.int16), np.zeros(blocks * BLOCK, np.int16)
-        self.q2, self.q1, self.q1b = (np.full(blocks * 8, 1024, np.int64), np.full(blocks * 16, 1024, np.int64), np.full(blocks * 8, 512, np.int64))
-        self.lane8, self.lane16 = lanes * 8, lanes * 16
-        self.w2, self.w1 = np.full(blocks, 40000, np.int64), np.full(blocks, 26000, np.int64)
-        self.prev1, self.prev2 = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
-        self.count = np.zeros((blocks, self.width), np.int64)
-        self.flat = self.count.reshape(-1)
-        self.cum = np.zeros((blocks, self.width + 1), np.int32)
-        self.at_cum = lanes * (self.width + 1)
-        self.flat_cum = self.cum.reshape(-1)
-        self.rescale(blocks)
-
-    def rescale(self, n: int) -> None:
-        """Order-0 intervals from the counts so far; each id of the block keeps one unit."""
-        for a in range(0, n, 256):
-            b = min(n, a + 256)
-            free = (TOTAL - self.size[a:b])[:, None]
-            run = np.cumsum(self.count[a:b], axis=1)
-            seen = np.maximum(run[:, -1:], 1)
-            even = np.minimum(np.arange(1, self.width + 1)[None, :], self.size[a:b, None])
-            # until something is seen, and for a small share after that, all ids are alike
-            share = free * 1 // np.where(run[:, -1:] > 0, 16, 1)
-            self.cum[a:b, 1:] = even + even * share // self.size[a:b, None] + run * (free - share) // seen
-            self.cum[a:b, -1] = TOTAL
-
-    def predict(self, n: int) -> tuple[np.ndarray, ...]:
-        """Predicted ids of order 2 and 1, and the widths of their intervals."""
-        self.i2 = self.at2[:n] + ((self.prev1[:n] * 2654 + self.prev2[:n] * 40503) & (BLOCK - 1))
-        self.i1 = self.at1[:n] + self.prev1[:n]
-        e2, e1 = self.t2.take(self.i2).astype(np.int64), self.t1.take(self.i1).astype(np.int64)
-        self.p2, self.c2, self.p1, self.c1 = e2 >> 3, e2 & 7, e1 >> 3, e1 & 7
-        self.same = self.p1 == self.p2
-        self.j2 = self.lane8[:n] + self.c2
-        self.j1 = self.lane16[:n] + self.c1 * 2 + self.same
-        self.jb = self.lane8[:n] + self.c1
-        self.v2, self.v1, self.vb = self.q2.take(self.j2), self.q1.take(self.j1), self.q1b.take(self.jb)
-        self.s2, self.s1 = STRETCH.take(self.v2), STRETCH.take(self.v1)
-        dot = (self.w2[:n] * self.s2 + self.w1[:n] * self.s1) >> 16
-        self.p = SQUASH.take(np.minimum(np.maximum(dot, -2047), 2047) + 2047)
-        a = self.p << (SCALE - 12)
-        rest = TOTAL - a
-        b = np.where(self.same, 0, np.maximum((rest * self.vb) >> 12, 1))
-        return self.p2, self.p1, a, b
-
-    def update(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        bit = hit2.astype(np.int64)
-        error = ((bit << 12) - self.p) * 6
-        self.w2[:n] += (self.s2 * error) >> 10
-        self.w1[:n] += (self.s1 * error) >> 10
-        goal = bit * 4095
-        self.q2[self.j2] = self.v2 + ((goal - self.v2) >> 4)
-        self.q1[self.j1] = self.v1 + ((goal - self.v1) >> 4)
-        self.q1b[self.jb] = np.where(hit2 | self.same, self.vb, self.vb + ((hit1 * 4095 - self.vb) >> 4))
-        self.t2[self.i2] = (x << 3) | np.where(hit2, np.minimum(self.c2 + 1, 7), 1)
-        self.t1[self.i1] = (x << 3) | np.where(self.p1 == x, np.minimum(self.c1 + 1, 7), 1)
-        self.flat[self.at1[:n] + x] += 1
-        self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = x
-
-
-def _blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct ids of every block, how many, each id's place among them (blocks by steps), and the blocks' lengths."""
-    count = -(-len(ids) // BLOCK)
-    lengths = np.full(count, BLOCK, np.int64)
-    lengths[-1] = len(ids) - BLOCK * (count - 1)
-    block = np.repeat(np.arange(count, dtype=np.int64), lengths)
-    keys, inverse = np.unique((block << 32) | ids, return_inverse=True)
-    size = np.bincount(keys >> 32, minlength=count)
-    first = np.cumsum(size) - size
-    local = np.zeros(count * BLOCK, np.int64)
-    local[: len(ids)] = inverse - first[block]
-    return keys & 0xFFFFFFFF, size, local.reshape(count, BLOCK), lengths
+    @classmethod
+    def of(cls, counts: np.ndarray) -> _Order0:
+        bits = min(20, max(16, int(len(counts) - 1).bit_length() + 3))
+        total, free = int(counts.sum()), (1 << bits) - len(counts)
+        shares = 1 + counts * free // total
+        shares[int(counts.argmax())] += (1 << bits) - int(shares.sum())
+        return cls(shares, bits)
 
 
-def _gaps(ids: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """Sorted ids of each block as gaps: a byte below 255, or 255 and four bytes."""
-    gap = np.diff(ids, prepend=0)
-    gap[np.cumsum(size) - size] = ids[np.cumsum(size) - size]
-    wide = gap >= 255
-    width = np.where(wide, 5, 1)
-    at = np.cumsum(width) - width
-    out = np.zeros(int(width.sum()), np.uint8)
-    out[at] = np.where(wide, 255, gap)
-    for k in range(4):
-        out[at[wide] + 1 + k] = (gap[wide] >> (8 * k)) & 255
-    ends = np.cumsum(np.add.reduceat(width, np.cumsum(size) - size))
-    return [out[a:b].tobytes() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-
-def _ungapped(data: bytes, size: int) -> np.ndarray:
-    out, at, last = np.zeros(size, np.int64), 0, 0
-    for i in range(size):
-        gap = data[at]
-        at += 1
-        if gap == 255:
-            gap = int.from_bytes(data[at : at + 4], "little")
-            at += 4
-        last += gap
-        out[i] = last
-    return out
+class _Model:
+    """Predictions of all blocks; one id of each block at a time."""
+
+    def __init__(self, blocks: int, order0: _Order0):
+        lanes, names = np.arange(blocks, dtype=np.int64), np.arange(len(order0.shares), dtype=np.int64)
+        self.chance0 = order0.stretch
+        self.hash1 = (names * 40503 >> 3) & (SLOTS1 - 1)
+        self.hash2, self.hash2b = (names * 2654435761 >> 7) & (SLOTS2 - 1), (names * 2246822519 >> 11) & (SLOTS2 - 1)
+        self.at1, self.at2 = lanes * SLOTS1, lanes * SLOTS2
+        self.t1, self.t2 = np.zeros(blocks * SLOTS1, np.int32), np.zeros(blocks * SLOTS2, np.int32)
+        self.lane = lanes * 16
+        self.q1 = np.tile(np.where(np.arange(16) & 1, 0, CHANCE >> 1), blocks)
+        self.w2, self.w1, self.w0 = (np.full(blocks, w, np.int64) for w in (50000, 20000, 4000))
+        self.i1, self.i2, self.last = self.at1, self.at2, np.zeros(blocks, np.int64)
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """The widths, of 4096, of what order 2 and order 1 predict."""
+        self.e2, self.e1 = self.t2.take(self.i2).astype(np.int64), self.t1.take(self.i1).astype(np.int64)
+        self.p2, self.p1 = self.e2 >> 4, self.e1 >> 4
+        same = self.p1 == self.p2
+        state1 = (self.e1 & 14) + same
+        self.j1 = self.lane + state1
+        self.vb = self.q1.take(self.j1)
+        self.s2, self.s1, self.s0 = SURE.take((self.e2 & 14) + same), SURE.take(state1), self.chance0.take(self.p2)
+        z = (self.w2 * self.s2 + self.w1 * self.s1 + self.w0 * self.s0) >> 16
+        self.a = SQUASH.take(z + 2047, mode="clip")
+        return self.a, ((4096 - self.a) * self.vb) >> 12
+
+    def update(self, x: np.ndarray, ok2: np.ndarray, ok1: np.ndarray) -> None:
+        error = np.where(ok2, 4095, 0) - self.a
+        self.w2 += (self.s2 * error) >> 9
+        self.w1 += (self.s1 * error) >> 9
+        self.w0 += (self.s0 * error) >> 10
+        self.q1[self.j1] = np.where(ok2, self.vb, self.vb + ((np.where(ok1, 4095, 0) - self.vb) >> 5))
+        fresh = (x << 4) | 2
+        self.t2[self.i2] = np.where(ok2, np.minimum(self.e2 + 2, self.e2 | 14), fresh).astype(np.int32)
+        self.t1[self.i1] = np.where(ok1, np.minimum(self.e1 + 2, self.e1 | 14), fresh).astype(np.int32)
+        self.i1 = self.at1 + self.hash1.take(x)
+        self.i2 = self.at2 + (self.hash2.take(x) ^ self.last)
+        self.last = self.hash2b.take(x)
+
+
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids, each id's place among them, and their counts."""
+    if int(ids.max()) < 1 << 24:
+        counts = np.bincount(ids)
+        used = np.flatnonzero(counts)
+        place = np.zeros(len(counts), np.int64)
+        place[used] = np.arange(len(used))
+        return used, place.take(ids), counts[used]
+    return np.unique(ids, return_inverse=True, return_counts=True)
 
 
 def encode(ids: np.ndarray) -> bytes:
-    """A frame: magic, number of blocks, a table of the blocks, then each block's ids in use and its stream."""
-    ids = np.ascontiguousarray(ids, np.int64)
+    """A frame of ids (0 to 2^32 - 1): magic, head, a table of the blocks, then each block's stream. ValueError beyond MOST_DISTINCT ids."""
     if not len(ids):
-        return MAGIC + struct.pack("<I", 0)
-    used, size, local, lengths = _blocks(ids)
-    blocks = len(size)
-    model = _Model(blocks, size)
+        return MAGIC + HEAD.pack(0, 0, 0, 0, 0, 0)
+    used, local, counts = _numbered(np.ascontiguousarray(ids))
+    if len(used) > MOST_DISTINCT:
+        raise ValueError(f"more than {MOST_DISTINCT} distinct ids in a frame")
+    order0 = _Order0.of(counts)
+    blocks = -(-len(ids) // BLOCK)
+    length = -(-len(ids) // blocks)
+    columns = np.ascontiguousarray(np.concatenate([local, np.full(blocks * length - len(ids), local[-1])]).reshape(blocks, length).T)
+    model = _Model(blocks, order0)
     low, width = np.zeros(blocks, U), np.full(blocks, 0xFFFFFFFFFFFFFFFF, U)
-    room = 3 * BLOCK
-    out, pos = np.zeros(blocks * room, np.uint16), np.arange(blocks, dtype=np.int64) * room
-    columns = np.ascontiguousarray(local.T)
-    for step in range(int(lengths[0])):
-        n = blocks if step < lengths[-1] else blocks - 1
-        if step and _rescaled(step):
-            model.rescale(n)
-        x = columns[step, :n]
-        p2, p1, a, b = model.predict(n)
-        hit2 = p2 == x
-        hit1 = (p1 == x) & ~hit2
-        known = hit2 | hit1
-        unit = width[:n] >> U(SCALE)
-        start = np.where(hit2, 0, np.where(hit1, a, a + b)).astype(U)
-        freq = np.where(hit2, a, np.where(hit1, b, TOTAL - a - b)).astype(U)
-        low[:n] += unit * start
-        width[:n] = unit * freq
-        miss = np.flatnonzero(~known)
-        if len(miss):
-            at = model.at_cum[miss] + x[miss]
-            c0, c1 = model.flat_cum.take(at), model.flat_cum.take(at + 1)
-            unit = width[miss] >> U(SCALE)
-            low[miss] += unit * c0.astype(U)
-            width[miss] = unit * (c1 - c0).astype(U)
-        model.update(n, x, hit2, hit1)
-        while True:
-            settled = ((low[:n] ^ (low[:n] + width[:n])) >> U(48)) == 0
-            small = ~settled & (width[:n] < U(1 << 32))
-            go = np.flatnonzero(settled | small)
-            if not len(go):
-                break
-            cut = np.flatnonzero(small)
-            width[cut] = (~low[cut] + U(1)) & U(0xFFFFFFFF)
-            out[pos[go]] = (low[go] >> U(48)).astype(np.uint16)
-            pos[go] += 1
-            low[go] <<= U(16)
-            width[go] <<= U(16)
-    for shift in (48, 32, 16, 0):
-        out[pos] = (low >> U(shift)).astype(np.uint16)
+    room = length + 4  # an id takes at most one digit of 32 bits
+    digits, pos = np.zeros(blocks * room, np.uint32), np.arange(blocks, dtype=np.int64) * room + 1
+    carries: list[np.ndarray] = []
+    shift0 = U(order0.bits)
+    for x in columns:
+        a, b = model.predict()
+        ok2, ok1 = model.p2 == x, model.p1 == x
+        unit = width >> U(12)
+        first = unit * a.view(U)
+        both = unit * (a + b).view(U)
+        rest = ((unit << U(12)) - both) >> shift0
+        hit1 = ok1 & (b > 0)
+        start = np.where(ok2, U(0), np.where(hit1, first, both + rest * order0.starts.take(x)))
+        width = np.where(ok2, first, np.where(hit1, both - first, rest * order0.shares.take(x)))
+        low += start
+        over = low < start
+        if over.any():
+            carries.append(pos[over] - 1)
+        go = np.flatnonzero(width < LEAST)
+        if len(go):
+            at, moved = pos[go], low[go]
+            digits[at] = moved >> HALF
+            pos[go] = at + 1
+            low[go] = moved << HALF
+            width[go] <<= HALF
+        model.update(x, ok2, ok1)
+    for shift in (32, 0):
+        digits[pos] = (low >> U(shift)).astype(np.uint32)
         pos += 1
-    gaps = _gaps(used, size)
-    raw, ends, table, body = ids.astype("<u4"), np.cumsum(lengths), [], []
+    if carries:  # into the digits before; rarely on from there
+        up = np.concatenate(carries)
+        while len(up):
+            up, n = np.unique(up, return_counts=True)
+            total = digits[up].astype(np.int64) + n
+            digits[up] = total & 0xFFFFFFFF
+            up = up[total >> 32 > 0] - 1
+    head = zlib.compress(np.diff(used, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() + order0.shares.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    raw, table, body = ids.astype("<u4"), [], []
     for i in range(blocks):
-        stream = out[i * room : pos[i]].astype("<u2").tobytes()
-        table.append(HEAD.pack(int(lengths[i]) - 1, int(size[i]) - 1, len(gaps[i]), len(stream), crc32(raw[ends[i] - lengths[i] : ends[i]].tobytes())))
-        body += [gaps[i], stream]
-    return b"".join([MAGIC, struct.pack("<I", blocks), *table, *body])
+        stream = digits[i * room + 1 : pos[i]].astype("<u4").tobytes()
+        table.append(ENTRY.pack(len(stream), crc32(raw[i * length : (i + 1) * length].tobytes())))
+        body.append(stream)
+    return b"".join([MAGIC, HEAD.pack(len(ids), blocks, length, len(used), order0.bits, len(head)), head, *table, *body])
 
 
 def decode(frame: bytes) -> np.ndarray:
     """The ids of a frame; ValueError where it, or a block's checksum, is wrong."""
     if frame[: len(MAGIC)] != MAGIC:
         raise ValueError("not a token frame")
-    (blocks,) = struct.unpack_from("<I", frame, len(MAGIC))
-    if not blocks:
+    n, blocks, length, distinct, bits, packed = HEAD.unpack_from(frame, len(MAGIC))
+    if not n:
         return np.zeros(0, np.int64)
-    at = len(MAGIC) + 4
-    heads = [HEAD.unpack_from(frame, at + i * HEAD.size) for i in range(blocks)]
-    at += blocks * HEAD.size
-    lengths, size = np.array([h[0] + 1 for h in heads], np.int64), np.array([h[1] + 1 for h in heads], np.int64)
-    names = np.zeros((blocks, int(size.max())), np.int64)
-    room = max(h[3] for h in heads) // 2 + 4
-    stream = np.zeros(blocks * room, np.uint16)
-    for i, (_, d, gaps, coded, _) in enumerate(heads):
-        names[i, : d + 1] = _ungapped(frame[at : at + gaps], d + 1)
-        at += gaps
-        stream[i * room : i * room + coded // 2] = np.frombuffer(frame, "<u2", coded // 2, at)
-        at += coded
+    at = len(MAGIC) + HEAD.size
+    try:
+        head = zlib.decompress(frame[at : at + packed])
+    except zlib.error as e:
+        raise ValueError("the frame's head is damaged") from e
+    gaps, shares = (np.frombuffer(head, np.uint8, 4 * distinct, k * 4 * distinct).reshape(4, -1).T.copy().view("<u4").reshape(-1).astype(np.int64) for k in range(2))
+    used, order0 = np.cumsum(gaps), _Order0(shares, bits)
+    at += packed
+    sizes, sums = np.frombuffer(frame, "<u4", 2 * blocks, at).reshape(-1, 2).astype(np.int64).T
+    at += blocks * ENTRY.size
+    room = int(sizes.max()) // 4 + 4
+    digits = np.zeros(blocks * room, np.uint32)
+    for i, size in enumerate(sizes.tolist()):
+        digits[i * room : i * room + size // 4] = np.frombuffer(frame, "<u4", size // 4, at)
+        at += size
+    digits = digits.astype(U)
     pos = np.arange(blocks, dtype=np.int64) * room
-    model = _Model(blocks, size)
-    low, width, code = np.zeros(blocks, U), np.full(blocks, 0xFFFFFFFFFFFFFFFF, U), np.zeros(blocks, U)
-    for _ in range(4):
-        code = (code << U(16)) | stream[pos].astype(U)
-        pos += 1
-    out = np.zeros((int(lengths[0]), blocks), np.int64)
-    top = 1 << (int(size.max()) - 1).bit_length()
-    for step in range(int(lengths[0])):
-        n = blocks if step < lengths[-1] else blocks - 1
-        if step and _rescaled(step):
-            model.rescale(n)
-        p2, p1, a, b = model.predict(n)
-        unit = width[:n] >> U(SCALE)
-        v = np.minimum((code[:n] - low[:n]) // unit, U(TOTAL - 1)).astype(np.int64)
-        hit2 = v < a
-        known = v < a + b
-        hit1 = known & ~hit2
-        x = np.where(hit2, p2, p1)
-        start = np.where(hit2, 0, np.where(hit1, a, a + b)).astype(U)
-        freq = np.where(hit2, a, np.where(hit1, b, TOTAL - a - b)).astype(U)
-        low[:n] += unit * start
-        width[:n] = unit * freq
+    code, width = (digits[pos] << HALF) | digits[pos + 1], np.full(blocks, 0xFFFFFFFFFFFFFFFF, U)
+    pos += 2
+    slots = np.repeat(np.arange(distinct), shares)
+    last, shift0, most = len(digits) - 1, U(bits), U((1 << bits) - 1)
+    model = _Model(blocks, order0)
+    out = np.zeros((length, blocks), np.int64)
+    for step in range(length):
+        a, b = model.predict()
+        unit = width >> U(12)
+        first = unit * a.view(U)
+        both = unit * (a + b).view(U)
+        ok2, known = code < first, code < both
+        x = np.where(ok2, model.p2, model.p1)
+        start, wide = np.where(ok2, U(0), first), np.where(ok2, first, both - first)
         miss = np.flatnonzero(~known)
         if len(miss):
-            unit = width[miss] >> U(SCALE)
-            v = np.minimum((code[miss] - low[miss]) // unit, U(TOTAL - 1)).astype(np.int32)
-            base, last = model.at_cum[miss], size[miss] - 1
-            found, half = np.zeros(len(miss), np.int64), top >> 1
-            while half:  # the last place whose interval starts at v or before
-                there = found + half
-                ok = (there <= last) & (model.flat_cum.take(base + np.minimum(there, last)) <= v)
-                found = np.where(ok, there, found)
-                half >>= 1
-            c0, c1 = model.flat_cum.take(base + found), model.flat_cum.take(base + found + 1)
-            low[miss] += unit * c0.astype(U)
-            width[miss] = unit * (c1 - c0).astype(U)
-            x[miss] = found
-        model.update(n, x, hit2, hit1)
-        out[step, :n] = x
-        while True:
-            settled = ((low[:n] ^ (low[:n] + width[:n])) >> U(48)) == 0
-            small = ~settled & (width[:n] < U(1 << 32))
-            go = np.flatnonzero(settled | small)
-            if not len(go):
-                break
-            cut = np.flatnonzero(small)
-            width[cut] = (~low[cut] + U(1)) & U(0xFFFFFFFF)
-            code[go] = (code[go] << U(16)) | stream[np.minimum(pos[go], len(stream) - 1)].astype(U)
-            pos[go] += 1
-            low[go] <<= U(16)
-            width[go] <<= U(16)
-    # every block but the last is full, so that rows of blocks are the ids in their order
-    ids = np.take_along_axis(names, out.T, axis=1).reshape(-1)[: int(lengths.sum())]
-    raw, at = ids.astype("<u4"), 0
-    for i, head in enumerate(heads):
-        if crc32(raw[at : at + head[0] + 1].tobytes()) != head[4]:
+            begin = both[miss]
+            rest = ((unit[miss] << U(12)) - begin) >> shift0
+            name = slots.take(np.minimum((code[miss] - begin) // rest, most).astype(np.int64))
+            x[miss] = name
+            start[miss] = begin + rest * order0.starts.take(name)
+            wide[miss] = rest * order0.shares.take(name)
+        code -= start
+        width = wide
+        go = np.flatnonzero(width < LEAST)
+        if len(go):
+            at = pos[go]
+            code[go] = (code[go] << HALF) | digits.take(np.minimum(at, last))
+            width[go] <<= HALF
+            pos[go] = at + 1
+        out[step] = x
+        model.update(x, model.p2 == x, model.p1 == x)
+    ids = used[np.minimum(out.T.reshape(-1)[:n], distinct - 1)]
+    raw = ids.astype("<u4")
+    for i, expected in enumerate(sums.tolist()):
+        if crc32(raw[i * length : (i + 1) * length].tobytes()) != expected:
             raise ValueError(f"block {i}: wrong checksum")
-        at += head[0] + 1
     return ids

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +62,33 @@ def slices(texts: list[bytes | None], limit: int = SLICE_BYTES) -> Iterator[tupl
         yield start, len(texts)
 
 
+def bytes_of(strings: pa.Array) -> list[bytes]:
+    """Strings without nulls as UTF-8 bytes; far quicker than to_pylist()."""
+    _, ends, data = strings.buffers()
+    if data is None or not len(strings):
+        return [b""] * len(strings)
+    wide = np.int64 if pa.types.is_large_string(strings.type) or pa.types.is_large_binary(strings.type) else np.int32
+    at = np.frombuffer(ends, wide)[strings.offset : strings.offset + len(strings) + 1].tolist()
+    raw = data.slice(at[0], at[-1] - at[0]).to_pybytes()
+    return [raw[a - at[0] : b - at[0]] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def slices_of(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """The same over an Arrow column of strings; a null counts as no bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        held = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, held + limit, side="right")))
+        yield start, end
+        start = end
+
+
+def one_list(values: pa.Array) -> pa.Array:
+    """A list column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def offsets(counts: np.ndarray | list[int]) -> np.ndarray:
     """0 and the running sums."""
     out = np.zeros(len(counts) + 1, np.int64)

@@ -7,24 +7,34 @@ Spark's own writer, so the files can be in any store, and an attempt of a lost e
 
 from __future__ import annotations
 
+import gc
+import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import coder
-from .common import offsets, slices, texts_of, written
+from .common import LOWER, bytes_of, offsets, one_list, slices_of, written
 
 SEGMENT = 6_000_000
 END = 1
 #: Pieces of text whose ids a worker remembers; it starts anew beyond that.
 REMEMBERED = 1_000_000
-_known: dict[str, dict[bytes, list[int]]] = {}
+#: Letters that a word must consist of to be given to the tokenizer's merges at once: lower case, one byte in Latin-1, so that
+#: no normalisation changes them; then signs that are never part of a word. Used only where probes show that it changes nothing.
+_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-^`{-~]*)")
+_PROBES = ("Probe, of  Words:\n\there's (some) text; it isn't LONG...", "don't stop-here a1b22c e-mail x_y 3.14 ---- $$$ r\u00e9sum\u00e9, \u00c4rger na\u00efve stra\u00dfe caf\u00e9!!")
+#: Bytes of text that are looked up together.
+TOGETHER = 8_000_000
+_encoders: dict[str, Encoder] = {}
 
 
 def default_tokenizer() -> str:
@@ -33,31 +43,131 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoder(path: str):
-    """Ids of a slice of texts. This tokenizer drops white space and no token reaches over it, so pieces between blanks are encoded once."""
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    known = _known.setdefault(path, {})
-
-    def encode(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        if len(known) > REMEMBERED:
-            known.clear()
-        pieces = [t.split() if t else [] for t in texts]
-        new = list({p for own in pieces for p in own if p not in known})
-        for a in range(0, len(new), 10_000):
-            part = new[a : a + 10_000]
-            for p, e in zip(part, tokenizer.encode_batch_fast([p.decode() for p in part], add_special_tokens=False), strict=True):
-                known[p] = e.ids
-        end, get = [END], known.__getitem__
-        found = [list(chain.from_iterable(map(get, own))) + end for own in pieces]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())), lengths
-
-    return encode
+class Encoder:
+    """Ids of slices of texts. Where the tokenizer drops white space and no token reaches over it, which probes and a text of
+    every slice are held against, pieces between ASCII blanks are encoded once and remembered; else texts are encoded whole."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.lower = self.fast = True
+        self.forget()
+        pieces = [p for t in _PROBES for p in t.split()]
+        whole = [i for t in _PROBES for i in self._plain([t])[0]]
+        self.apart = whole == [i for ids in self._plain(pieces) for i in ids]
+        if self.apart:
+            lowered = [p.encode().translate(LOWER).decode() for p in pieces]
+            self.lower = self._plain(pieces) == self._plain(lowered)
+            self.fast = self.lower and self._fast(lowered) == self._plain(lowered)
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.parts: dict[str, list[int]] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int64), 0
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for a in range(0, len(texts), 10_000):
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(texts[a : a + 10_000], add_special_tokens=False)]
+        return out
+
+    def _fast(self, pieces: list[str]) -> list[list[int]]:
+        """A plain word goes to the merges directly, signs behind it are encoded once; other pieces are encoded as they are."""
+        out: list[list[int] | None] = [None] * len(pieces)
+        parts, merge, rest = self.parts, self.tokenizer.model.tokenize, []
+        for i, p in enumerate(pieces):
+            m = _PLAIN.fullmatch(p)
+            if m is None:
+                rest.append(i)
+                continue
+            word, signs = m.groups()
+            ids = parts.get(word)
+            if ids is None:
+                ids = parts[word] = [t.id for t in merge(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LEVEL))]
+            if signs:
+                tail = parts.get(signs)
+                if tail is None:
+                    tail = parts[signs] = self._plain([signs])[0]
+                ids = ids + tail
+            out[i] = ids
+        for i, ids in zip(rest, self._plain([pieces[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        texts = [p.decode() for p in pieces]
+        gc.disable()  # many small lists that stay
+        try:
+            found = (self._fast if self.fast else self._plain)(texts)
+        finally:
+            gc.enable()
+        first = len(self.number)
+        self.number.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
+        while len(self.size) < first + len(pieces):
+            self.begin, self.size = (np.concatenate([v, np.zeros_like(v)]) for v in (self.begin, self.size))
+        while len(self.flat) < self.used + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.size[first : first + len(pieces)] = size
+        self.begin[first : first + len(pieces)] = self.used + offsets(size)[:-1]
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self._plain([t or "" for t in texts.to_pylist()])
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
+
+    def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.number) > REMEMBERED:
+            self.forget()
+        texts = pc.fill_null(texts, "")
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lower else texts)
+        coded = split.flatten().dictionary_encode()
+        names = bytes_of(coded.dictionary)
+        found = list(map(self.number.get, names))
+        if None in found:
+            self._learn([p for p, k in zip(names, found, strict=True) if k is None])
+            found = list(map(self.number.__getitem__, names))
+        number = np.array(found, np.int64).take(coded.indices.to_numpy())
+        size = self.size.take(number)
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1]) if len(ends) else 0)
+        at += np.repeat(self.begin.take(number) - (ends - size), size)
+        edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        return self.flat.take(at), np.diff(np.concatenate([[0], ends])[edges])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with END behind, and their numbers; a null text is an empty one."""
+        ids, n = (self._by_pieces if self.apart else self._whole)(texts)
+        if self.apart and len(texts):  # a text of the slice, a short one, as the tokenizer itself has it
+            k = int(np.where(n > 0, n, 1 << 62).argmin())
+            a = int(n[:k].sum())
+            if ids[a : a + n[k]].tolist() != self._plain([texts[k].as_py() or ""])[0]:
+                self.apart = False
+                ids, n = self._whole(texts)
+        out = np.full(len(ids) + len(n), END, np.int64)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
+        return out, n + 1
+
+
+def _byte_level() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    return {b: chr(b if b in own else 256 + b - sum(x < b for x in own)) for b in range(256)}
+
+
+_BYTE_LEVEL = _byte_level()
+
+
+def _encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 SEGMENTS = "part long, first long, n_ids long, doc_ids array<{id}>, lengths array<long>, frame binary"
@@ -67,24 +177,24 @@ def _segments(path: str, segment: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, first = _encoder(path), TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
-        docs: list = []
+        docs: list[pa.Array] = []
         lengths: list[np.ndarray] = []
 
         def done() -> pa.RecordBatch:
             nonlocal first
             flat = np.concatenate(ids)
-            row = [pa.array([part], pa.int64()), pa.array([first], pa.int64()), pa.array([len(flat)], pa.int64()), pa.array([docs], pa.list_(id_type)), pa.array([np.concatenate(lengths)], pa.list_(pa.int64())), pa.array([coder.encode(flat)], pa.binary())]
+            row = [pa.array([part], pa.int64()), pa.array([first], pa.int64()), pa.array([len(flat)], pa.int64()), one_list(pa.concat_arrays(docs).cast(id_type)), one_list(pa.array(np.concatenate(lengths))), pa.array([coder.encode(flat)], pa.binary())]
             first += len(flat)
             ids.clear(), docs.clear(), lengths.clear()
             return pa.RecordBatch.from_arrays(row, names=["part", "first", "n_ids", "doc_ids", "lengths", "frame"])
 
         for batch in batches:
-            texts, keys = texts_of(batch), batch.column(0).to_pylist()
-            for a, b in slices(texts):
-                got, n = encode(texts[a:b])
-                ids.append(got)
+            texts = batch.column(batch.schema.get_field_index("text"))
+            for a, b in slices_of(texts, TOGETHER):
+                got, n = encode(texts.slice(a, b - a))
+                ids.append(got.astype(np.uint32))
                 lengths.append(n)
-                docs += keys[a:b]
+                docs.append(batch.column(0).slice(a, b - a))
                 if sum(map(len, ids)) >= segment:
                     yield done()
         if docs:
@@ -94,11 +204,13 @@ def _segments(path: str, segment: int, id_type: pa.DataType):
 
 
 def encode_documents(docs: DataFrame, tokenizer: str | None = None, segment: int = SEGMENT) -> DataFrame:
-    """Segments of the documents in ascending order of doc_id (null first; then by text, for repeated ids)."""
+    """Segments of the documents in ascending order of doc_id (null first; then by a hash of the text, for repeated ids)."""
     kind = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    # the row's number only serves to split rows that repeat both id and text over several ranges
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("print"), F.monotonically_increasing_id().alias("number"))
+    dealt = rows.repartitionByRange("doc_id", "print", "number").sortWithinPartitions("doc_id", "print", "number").select("doc_id", "text")
     return dealt.mapInArrow(_segments(tokenizer or default_tokenizer(), segment, to_arrow_type(kind)), SEGMENTS.format(id=kind.simpleString()))
 
 
@@ -128,7 +240,7 @@ def token_output(docs: DataFrame, tokenizer: str | None = None, segment: int = S
     """doc_id, start, n_tokens, ids_crc32: each document's place in the id stream, its length with the end id, and a checksum of the ids read back.
 
     docs needs doc_id and text; other columns are ignored, whatever their names. A null text counts as empty: its only id is
-    the end id. Rows that repeat a doc_id are documents of their own, in order of a hash of their text and then of the text;
+    the end id. Rows that repeat a doc_id are documents of their own, in order of a hash of their text;
     equal rows stand side by side. An empty table gives an empty result. A null doc_id comes first.
     """
     return read_documents(written(encode_documents(docs, tokenizer, segment), "segments"))
