@@ -27,13 +27,13 @@ from .common import LOWER, bytes_of, offsets, one_list, slices_of, written
 SEGMENT = 6_000_000
 END = 1
 #: Pieces of text whose ids a worker remembers; it starts anew beyond that.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Letters that a word must consist of to be given to the tokenizer's merges at once: lower case, one byte in Latin-1, so that
 #: no normalisation changes them; then signs that are never part of a word. Used only where probes show that it changes nothing.
 _PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-^`{-~]*)")
 _PROBES = ("Probe, of  Words:\n\there's (some) text; it isn't LONG...", "don't stop-here a1b22c e-mail x_y 3.14 ---- $$$ r\u00e9sum\u00e9, \u00c4rger na\u00efve stra\u00dfe caf\u00e9!!")
 #: Bytes of text that are looked up together.
-TOGETHER = 8_000_000
+TOGETHER = 5_000_000
 _encoders: dict[str, Encoder] = {}
 
 

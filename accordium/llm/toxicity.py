@@ -20,15 +20,13 @@ from .common import WORDS, slices, texts_of
 from .labelled import SAMPLE_ROWS, judged, matrix, sample, scored
 
 NAMES = ("hits", "kinds", "density", "weight", "near_you", "you", "capitals", "hit_capitals", "exclaims", "marks", "disguised", "disguised_rate", "log_words")
-#: Words of the lexicon at most.
-LEXICON = 200
 #: Second-person words.
 YOU = frozenset(b"you your yours yourself u ur du dich dir dein deine ihr euch tu te toi vous votre vos ton ta tes usted ustedes vosotros tuyo".split())
 #: Signs that stand for letters.
 SIGNS = str.maketrans("013457@$!|", "oieastasil")
 NEAR = 5
 _SIGN = re.compile(rb"[A-Za-z][0-9@$!|*._-]+[A-Za-z]|[0-9@$][A-Za-z]")
-_DISGUISED = re.compile(rb"(?<![^\s])[A-Za-z0-9@$!|*._-]{3,40}(?![^\s])")
+_DISGUISED = re.compile(rb"(?<![^\s])[A-Za-z0-9@$!|*._-]{3,}(?![^\s])")
 
 
 def undisguised(token: str) -> str:
@@ -42,22 +40,23 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices(texts):
             bad, all_ = Counter(), Counter()
             for t, y in zip(texts[a:b], ys[a:b], strict=True):
-                own = {w for w in (t or b"").translate(WORDS).split() if 2 < len(w) <= 40}
+                own = {w for w in (t or b"").translate(WORDS).split() if len(w) > 2}
                 all_.update(own)
                 if y:
                     bad.update(own)
             yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in all_], pa.string()), pa.array([bad[w] for w in all_], pa.int64()), pa.array(list(all_.values()), pa.int64())], names=["word", "bad", "n"])
 
 
-def lexicon(rows: DataFrame, size: int = LEXICON) -> dict[bytes, float]:
-    """Words and their log odds ratios: in one of 200 toxic texts at least, and twenty times as frequent there as elsewhere."""
+def lexicon(rows: DataFrame) -> dict[bytes, float]:
+    """Words and their log odds ratios: all that are in one of 200 toxic texts of the sample at least (and in three), and twenty times
+    as frequent there as elsewhere. The sample bounds them."""
     total = rows.agg(F.sum("y").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, good = total.bad or 0, total.n - (total.bad or 0)
     if not bad or not good:
         return {}
     ratio = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (good + 1.0))
     words = rows.select("text", "y").mapInArrow(_word_counts, "word string, bad long, n long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    found = words.where(F.col("bad") >= max(3, bad / 200)).withColumn("weight", ratio).where(F.col("weight") >= np.log(20)).orderBy(F.desc("bad"), "word").limit(size).collect()
+    found = words.where(F.col("bad") >= max(3, bad / 200)).withColumn("weight", ratio).where(F.col("weight") >= np.log(20)).collect()
     return {r.word.encode(): float(r.weight) for r in found}
 
 

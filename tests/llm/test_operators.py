@@ -234,32 +234,79 @@ def test_lm(spark, docs):
     from collections import Counter
     from math import log10
 
-    got = {(r.doc_id, r.n_tokens): r for r in lm.score(docs).collect()}
     rows = [(d.doc_id, words(d.text, r"[^\x20\x09-\x0D]+") + [""]) for d in docs.collect()]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     c = Counter(w for i, t in rows if not held(i) for w in t)
     n, v = sum(c.values()), len(c)
-    for i, t in rows:
-        r = got[i, len(t)]
-        assert r.train_tokens == n and r.n_known == sum(c[w] > 0 for w in t) and abs(r.base_score - sum(log10((c[w] + 1) / (n + v + 1)) for w in t)) < 1e-6 and r.score < 0
+    want = sorted(((i, held(i), len(t), sum(c[w] > 0 for w in t), n, round(sum(log10((c[w] + 1) / (n + v + 1)) for w in t), 6)) for i, t in rows), key=str)
+    first = lm.score(docs).collect()
+    assert all(r.score < 0 for r in first) and sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in first), key=str) == want
+    # the same scores from any partitions, also where groups are split
+    again = lm.score(docs.repartition(7)).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, first), key=str)
+    size, lm.GROUP = lm.GROUP, 60_000
+    try:
+        parts = [sorted(((r.doc_id, round(r.base_score, 6), r.score) for r in lm.score(d).collect()), key=str) for d in (docs, docs.repartition(5))]
+    finally:
+        lm.GROUP = size
+    assert parts[0] == parts[1] and [p[:2] for p in parts[0]] == sorted([(w[0], w[5]) for w in want], key=str)
     assert lm.score(docs.limit(0)).isEmpty()
 
 
+def _group(texts, held):
+    """Bits of the tokens of texts as one group, and the words."""
+    number = {}
+    seq = [[number.setdefault(w, len(number)) for w in (*t.encode().split(), b"")] for t in texts]
+    tokens, held = np.array([len(s) for s in seq]), np.array(held)
+    flat = np.array([k for s in seq for k in s])
+    train = np.bincount(flat[np.repeat(~held, tokens)], minlength=len(number))
+    bits = lm.group_bits(flat, tokens, held, list(number), train, train, int(train.sum()))
+    return np.split(bits, np.cumsum(tokens)[:-1]), list(number)
+
+
 def test_lm_is_a_distribution():
-    """The costs of all continuations of a prefix make one."""
-    rng = np.random.default_rng(0)
-    tables = (rng.random(2 * lm.SLOTS) * 5).astype(np.float32).view(np.complex64)
-    weights, chances = lm.first_weights(), np.tile(sigmoid((np.arange(lm.STEPS) - lm.STEPS // 2) * (16 / (lm.STEPS - 1))), lm.GATES)
-    assert abs(_mass(tables, weights, chances) - 1) < 1e-6
-
-
-def _mass(tables, weights, chances):
-    slots, bits, _ = lm.bits_of([bytes([b]) for b in range(256) if b != 32] + [b""])
-    x, gate = lm.inputs(tables, slots, bits, 0.0)
-    p = lm.refined(lm.mixed(x, gate, weights), gate, chances)
-    cost = np.where(bits == 1, p, 1 - p).prod(axis=0)
-    first = [2 * k for k in range(255)] + [510]
-    return cost[first].sum()
+    """After the same words, the chances of all words that are known and of one that is new make no more than one, and most of it."""
+    texts = [text(k, 50) for k in range(40)]
+    ahead = "alpha beta "
+    bits, _ = _group([*texts, *(ahead + w for w in WORDS), ahead.strip(), ahead + "qqqq"], [False] * 40 + [True] * (len(WORDS) + 2))
+    mass = sum(2.0 ** -bits[40 + k][2] for k in range(len(WORDS) + 2))
+    assert 0.8 < mass <= 1 + 1e-6
+    # spelling: all bytes but blanks, or the end of the word
+    speller = lm.Speller()
+    speller.all([w.encode() for w in WORDS], True)
+    slots, bit, _ = lm.byte_bits([bytes([b]) for b in range(256) if b != 32] + [b""])
+    x = np.ones((5, bit.size), np.float32)
+    for k in range(4):
+        x[k] = lm._logit(speller.counts.take(2 * slots[k].reshape(-1)), speller.counts.take(2 * slots[k].reshape(-1) + 1))
+    n = [speller.counts.take(2 * slots[k].reshape(-1)) + speller.counts.take(2 * slots[k].reshape(-1) + 1) for k in (3, 2)]
+    p = speller.mixer.predict(x, lm._level(n[0]) * 4 + lm._level(n[1])).reshape(bit.shape)
+    cost = np.where(bit == 1, p, 1 - p).prod(axis=0)
+    assert abs(cost[[*range(0, 510, 2), 510]].sum() - 1) < 1e-4
+
+
+def test_lm_looks_over_words():
+    """Words in an order that training texts have cost less than the same words shuffled; a copy of a training text costs far less."""
+    rng = np.random.default_rng(3)
+    following = {w: list(rng.choice(WORDS, 2)) for w in WORDS}
+
+    def chain(seed):
+        r, out = np.random.default_rng(seed), ["alpha"]
+        while len(out) < 60:
+            out.append(str(r.choice(following[out[-1]])))
+        return out
+
+    train = [" ".join(chain(k)) for k in range(60)]
+    new = [chain(1000 + k) for k in range(5)]
+    mixed = [list(rng.permutation(t)) for t in new]
+    bits, _ = _group([*train, *map(" ".join, new), *map(" ".join, mixed), train[0]], [False] * 60 + [True] * 11)
+    total = [b.sum() for b in bits]
+    assert all(total[60 + k] < 0.7 * total[65 + k] for k in range(5))
+    noise = [" ".join(f"v{k}" for k in rng.integers(0, 300, 60)) for _ in range(60)]
+    bits, _ = _group([*noise, *noise, noise[7], " ".join(rng.permutation(noise[7].split()))], [False] * 120 + [True] * 2)
+    assert bits[120].sum() < 0.5 * bits[121].sum()
+    # without training documents every word is spelled
+    bits, names = _group(["one two", "two"], [True, True])
+    assert all(b.min() > 0 for b in bits) and np.isclose(bits[0][1], bits[1][0])
 
 
 def test_language(spark, docs):
