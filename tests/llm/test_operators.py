@@ -275,10 +275,10 @@ def test_lm_is_a_distribution():
     speller = lm.Speller()
     speller.all([w.encode() for w in WORDS], True)
     slots, bit, _ = lm.byte_bits([bytes([b]) for b in range(256) if b != 32] + [b""])
-    x = np.ones((5, bit.size), np.float32)
-    for k in range(4):
+    x = np.ones((4, bit.size), np.float32)
+    for k in range(3):
         x[k] = lm._logit(speller.counts.take(2 * slots[k].reshape(-1)), speller.counts.take(2 * slots[k].reshape(-1) + 1))
-    n = [speller.counts.take(2 * slots[k].reshape(-1)) + speller.counts.take(2 * slots[k].reshape(-1) + 1) for k in (3, 2)]
+    n = [speller.counts.take(2 * slots[k].reshape(-1)) + speller.counts.take(2 * slots[k].reshape(-1) + 1) for k in (2, 1)]
     p = speller.mixer.predict(x, lm._level(n[0]) * 4 + lm._level(n[1])).reshape(bit.shape)
     cost = np.where(bit == 1, p, 1 - p).prod(axis=0)
     assert abs(cost[[*range(0, 510, 2), 510]].sum() - 1) < 1e-4
