@@ -43,32 +43,66 @@ def field_diff(base: DataFrame, head: DataFrame) -> DataFrame:
     return both.select("dataset", "name", F.coalesce("t0", "t1").alias("type"), change.alias("change")).where("change is not null")
 
 
-def renames(diff: DataFrame) -> DataFrame:
-    """A removed field and the only added one of its type, where no other removed field has that type either."""
-    own = Window.partitionBy("dataset", "type", "change")
-    one = diff.where("change <> 'changed'").withColumn("n", F.count(F.lit(1)).over(own)).where("n = 1")
-    r, a = one.where("change = 'removed'").select("dataset", "type", F.col("name").alias("old")), one.where("change = 'added'").select("dataset", "type", F.col("name").alias("new"))
-    return r.join(a, ["dataset", "type"]).select("dataset", "old", "new")
+def renames(diff: DataFrame, order: str = "name") -> DataFrame:
+    """dataset, old, new: the only added field of a type is a new name of the first removed one of that type, by `order`."""
+    new = diff.where("change = 'added'").groupBy("dataset", "type").agg(F.min("name").alias("new"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    old = diff.where("change = 'removed'").groupBy("dataset", "type").agg(F.min_by("name", order).alias("old"))
+    return old.join(new, ["dataset", "type"]).select("dataset", "old", "new")
 
 
 def affected(usage: DataFrame, diff: DataFrame) -> DataFrame:
     """consumer, dataset, field: uses (consumer, dataset, name) of removed fields; `*` uses all of a dataset."""
     gone = diff.where("change = 'removed'").select("dataset", F.col("name").alias("field"))
-    return usage.join(gone, "dataset").where("name = field or name = '*'").select("consumer", "dataset", "field").distinct()
+    named = usage.where("name <> '*'").select("consumer", "dataset", F.col("name").alias("field")).join(gone, ["dataset", "field"])
+    all_ = usage.where("name = '*'").select("consumer", "dataset").distinct().join(gone, "dataset")
+    return named.select("consumer", "dataset", "field").unionByName(all_.select("consumer", "dataset", "field")).distinct()
 
 
-def blocking(hits: DataFrame, acks: DataFrame) -> DataFrame:
-    """Affected fields that no ack (consumer, field or `*`) covers."""
+def blocking(hits: DataFrame, acks: DataFrame, change: str | None = None) -> DataFrame:
+    """Affected fields that no ack (consumer, field or `*`) covers; where a change is named, acks (with `change`) of that one only."""
+    if change is not None:
+        acks = acks.where(F.col("change") == change)
     all_ = acks.where("field = '*'").select("consumer").distinct()
     return hits.join(acks.select("consumer", "field").distinct(), ["consumer", "field"], "left_anti").join(all_, "consumer", "left_anti")
 
 
+def impact_verdict(diff: DataFrame, hits: DataFrame, blocked: DataFrame) -> DataFrame:
+    """For each changed dataset: fields removed and retyped, affected uses, those without an ack, and whether the change may pass."""
+    per = diff.groupBy("dataset").agg(F.count_if(F.col("change") == "removed").alias("removed"), F.count_if(F.col("change") == "changed").alias("retyped"))
+    uses, open_ = (d.groupBy("dataset").agg(F.count(F.lit(1)).alias(n)) for d, n in ((hits, "affected"), (blocked, "blocking")))
+    joined = per.join(uses, "dataset", "left").join(open_, "dataset", "left").fillna(0, ["affected", "blocking"])
+    return joined.where("removed + retyped > 0").withColumn("passed", F.col("blocking") == 0)
+
+
 def lineage_drift(found: DataFrame, declared: DataFrame) -> DataFrame:
     """consumer, dataset, finding: UNREGISTERED where code reads what isn't declared, STALE the other way round."""
     f, d = found.select("consumer", "dataset", F.lit(1).alias("f")).distinct(), declared.select("consumer", "dataset", F.lit(1).alias("d")).distinct()
     return f.join(d, ["consumer", "dataset"], "full_outer").where("f is null or d is null").select("consumer", "dataset", F.when(F.col("d").isNull(), "UNREGISTERED").otherwise("STALE").alias("finding"))
 
 
+def registration_findings(found: DataFrame, declared: DataFrame, datasets: DataFrame, repos: DataFrame, owners: DataFrame | None = None) -> DataFrame:
+    """consumer, dataset, finding from uses found in code (consumer, dataset), declared reads (consumer, dataset, repo), known
+    datasets, existing repos, and consumers whose entry has an owner rule (None: no rules are kept).
+
+    UNREGISTERED CONSUMER: code reads what isn't declared. UNKNOWN DATASET: declared, but no such dataset. STALE LINEAGE:
+    declared, but not found in a repo that exists. MISSING CONSUMER REPO and NO CODEOWNER are of a consumer (dataset null).
+    """
+    found = found.select("consumer", "dataset").distinct()
+    declared = declared.select("consumer", "dataset", "repo").distinct()
+    known = datasets.select("dataset", F.lit(True).alias("known")).distinct()
+    there = repos.select("repo", F.lit(True).alias("there")).distinct()
+    fresh = found.join(declared, ["consumer", "dataset"], "left_anti").withColumn("finding", F.lit("UNREGISTERED CONSUMER"))
+    reads = declared.join(known, "dataset", "left").join(there, "repo", "left").join(found.withColumn("used", F.lit(True)), ["consumer", "dataset"], "left")
+    label = F.when(F.col("known").isNull(), "UNKNOWN DATASET").when(F.col("there") & F.col("used").isNull(), "STALE LINEAGE")
+    out = fresh.unionByName(reads.select("consumer", "dataset", label.alias("finding")).where("finding is not null"))
+    none = F.lit(None).cast(dict(declared.dtypes)["dataset"]).alias("dataset")
+    lost = declared.select("consumer", "repo").distinct().join(there, "repo", "left_anti").select("consumer", none, F.lit("MISSING CONSUMER REPO").alias("finding"))
+    out = out.unionByName(lost)
+    if owners is not None:
+        out = out.unionByName(declared.select("consumer").distinct().join(owners.select("consumer"), "consumer", "left_anti").select("consumer", none, F.lit("NO CODEOWNER").alias("finding")))
+    return out
+
+
 def dangling(usage: DataFrame, contract: DataFrame) -> DataFrame:
     """Qualified uses of fields that the dataset doesn't have."""
     return usage.where("name <> '*'").join(contract.select("dataset", "name").distinct(), ["dataset", "name"], "left_anti")
@@ -92,8 +126,21 @@ def worst_exit(workspaces: DataFrame) -> DataFrame:
 
 
 def latencies(runs: DataFrame, by: str, value: str, quantiles: tuple[float, ...] = (0.9,)) -> DataFrame:
-    """runs, the true median as p50, and nearest-rank quantiles, for each `by`."""
-    return runs.groupBy(by).agg(F.count(F.lit(1)).alias("runs"), F.median(value).alias("p50"), *(F.expr(f"percentile_disc({q}) within group (order by {value})").alias(f"p{round(100 * q)}") for q in quantiles))
+    """runs, the true median as p50, and nearest-rank quantiles, for each `by`. Null values are left out.
+
+    Values are counted first, so what is ordered are distinct values, in a window that spills.
+    """
+    counts = runs.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("by"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("by").agg(F.sum("n").alias("runs"))
+    run = F.sum("n").over(Window.partitionBy("by").orderBy("v"))
+    placed = counts.withColumn("upto", run).join(sizes, "by")
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") >= rank, F.col("v")))
+
+    half = F.col("runs") / 2
+    out = placed.groupBy("by").agg(F.first("runs").alias("runs"), at(F.ceil(half)).alias("low"), at(F.floor(half) + 1).alias("high"), *(at(F.ceil(F.round(F.lit(q) * F.col("runs"), 9))).alias(f"p{round(100 * q)}") for q in quantiles))
+    return out.select(F.col("by").alias(by), "runs", ((F.col("low") + F.col("high")) / 2).alias("p50"), *(f"p{round(100 * q)}" for q in quantiles))
 
 
 def alerts(metrics: DataFrame, now: int) -> DataFrame:

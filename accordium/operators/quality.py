@@ -8,8 +8,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREFIX = "expect_"
@@ -57,7 +58,7 @@ def _value(df: DataFrame, name: str) -> Column:
 
 
 def unexpected(df: DataFrame, rule: Rule) -> Column | None:
-    """The rule's predicate over df; None for a rule about the table. Duplicates need a window, so unique has one."""
+    """The rule's predicate over df; None for a rule about the table. For unique it reads a column that _counted() adds."""
     k, a = rule.kind.removeprefix(PREFIX), rule.kwargs
     if k == "table_row_count_to_be_between":
         return None
@@ -68,8 +69,12 @@ def unexpected(df: DataFrame, rule: Rule) -> Column | None:
     if k == "column_values_to_not_be_null":
         return c.isNull()
     if k == "column_values_to_be_unique":
-        return c.isNotNull() & (F.count(F.lit(1)).over(Window.partitionBy(c)) > 1)
+        return F.col(_mark(rule)).isNotNull() if _mark(rule) in df.columns else F.lit(False)
     if k == "column_values_to_match_regex":
+        try:  # at run time a wrong pattern would stop the other rules too
+            df.sparkSession._jvm.java.util.regex.Pattern.compile(a["regex"])
+        except Py4JJavaError as e:
+            raise ValueError(f"invalid regex: {e.java_exception.getDescription()}") from e
         wrong = ~c.rlike(a["regex"])
     elif k == "column_values_to_be_between":
         ends = ([c < a["min_value"]] if a.get("min_value") is not None else []) + ([c > a["max_value"]] if a.get("max_value") is not None else [])
@@ -83,6 +88,21 @@ def unexpected(df: DataFrame, rule: Rule) -> Column | None:
     return F.coalesce(wrong, F.lit(False))
 
 
+def _mark(rule: Rule) -> str:
+    return f"__repeated_{rule.ordinal}"
+
+
+def _counted(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """df with a mark for each uniqueness rule: null but where the value occurs again. Values are counted with partial sums and
+    only the repeated ones are joined back, so that a frequent value isn't sorted in one task."""
+    for r in rules:
+        if r.kind == "expect_column_values_to_be_unique" and r.kwargs.get("column") in df.columns:
+            c = _value(df, r.kwargs["column"])
+            again = df.select(c.alias("__v")).where("__v is not null").groupBy("__v").agg(F.count(F.lit(1)).alias(_mark(r))).where(F.col(_mark(r)) > 1)
+            df = df.join(again, c == F.col("__v"), "left").drop("__v")
+    return df
+
+
 def _compiled(df: DataFrame, rules: list[Rule]) -> tuple[list[tuple[Rule, Column | None]], list[tuple[Rule, str]]]:
     """Rules with their predicates, and those that can't be evaluated with the reason: they fail, and don't stop the others."""
     good, bad = [], []
@@ -140,21 +160,36 @@ def table_failures(results: DataFrame) -> DataFrame:
 
 
 def offending(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Rows that break a rule, with the labels of those rules in suite order in `expectation`."""
+    """Rows that break a rule, with the labels of those rules in suite order in `expectation`. An empty table gives none."""
+    columns = df.columns
+    df = _counted(df, rules)
     good, _ = _compiled(df, rules)
     preds = [(r, p) for r, p in good if p is not None]
     if not preds:
-        return df.withColumn("expectation", F.array().cast("array<string>")).where(F.lit(False))
+        return df.select(*columns).withColumn("expectation", F.array().cast("array<string>")).where(F.lit(False))
     labels = F.array(*(F.when(p, F.lit(r.label)) for r, p in preds))
-    return df.withColumn("expectation", F.filter(labels, lambda x: x.isNotNull())).where(F.size("expectation") > 0)
+    return df.withColumn("expectation", F.filter(labels, lambda x: x.isNotNull())).where(F.size("expectation") > 0).select(*columns, "expectation")
 
 
 def samples(df: DataFrame, rules: list[Rule], size: int = 5) -> DataFrame:
-    """The least distinct unexpected values of each rule over one column, `size` at most."""
+    """ordinal, label, sample: the least distinct unexpected values of each rule over one column, `size` at most."""
+    df = _counted(df, rules)
     good, _ = _compiled(df, rules)
     parts = []
     for r, p in good:
         if p is not None and "column" in r.kwargs:
             v = df.where(p).select(F.col(r.kwargs["column"]).cast("string").alias("v")).distinct().orderBy("v").limit(size)
             parts.append(v.agg(F.concat_ws("|", F.sort_array(F.collect_list("v"))).alias("sample")).select(F.lit(r.ordinal).alias("ordinal"), F.lit(r.label).alias("label"), "sample"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "ordinal int, label string, sample string")
     return reduce(DataFrame.unionByName, parts)
+
+
+def validate(df: DataFrame, rules: list[Rule], result_format: str = "SUMMARY", engine: str = "spark") -> tuple[DataFrame, DataFrame | None]:
+    """The summary with samples; with COMPLETE the offending rows too. Other formats and engines are refused."""
+    if engine != "spark":
+        raise NotImplementedError(f"engine {engine}")
+    if result_format not in ("SUMMARY", "COMPLETE"):
+        raise ValueError(f"result format {result_format}")
+    found = summary(df, rules).join(F.broadcast(samples(df, rules).select("ordinal", "sample")), "ordinal", "left")  # a row for each rule
+    return found, offending(df, rules) if result_format == "COMPLETE" else None

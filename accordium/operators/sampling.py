@@ -12,14 +12,16 @@ def target_rows(n: Column, fraction: float, floor: int) -> Column:
 
 
 def stratified(df: DataFrame, stratum: str, key: str, fraction: float, floor: int, seed: str = "") -> DataFrame:
-    """A sample without replacement of exact size in each stratum; rows are chosen by the sha256 of seed and key.
+    """A sample without replacement of exact size in each stratum, null being one; rows are chosen by the sha256 of seed and key.
 
-    Ranks are cut per stratum by a top-k that Spark prunes before the shuffle, so a hot stratum isn't sorted whole.
+    Ranks are cut per stratum by a top-k that Spark prunes before the shuffle, so a hot stratum isn't sorted whole. Columns
+    that start with two underscores and `sampling` are reserved.
     """
-    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n")).select(F.col(stratum).alias("_s"), target_rows(F.col("_n"), fraction, floor).alias("_k"))
+    n, s, k, r = (f"__sampling_{x}" for x in "nskr")
+    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias(n)).select(F.col(stratum).alias(s), target_rows(F.col(n), fraction, floor).alias(k))
     order = F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256)
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(order, key)))
-    kept = ranked.join(F.broadcast(sizes), F.col(stratum).eqNullSafe(F.col("_s"))).where("_r <= _k")
+    ranked = df.withColumn(r, F.row_number().over(Window.partitionBy(stratum).orderBy(order, key)))
+    kept = ranked.join(F.broadcast(sizes), F.col(stratum).eqNullSafe(F.col(s))).where(F.col(r) <= F.col(k))
     return kept.select(*df.columns)
 
 
@@ -30,7 +32,13 @@ def report(df: DataFrame, sample: DataFrame, stratum: str, fraction: float) -> D
     return source.join(taken, stratum, "left").select(F.col(stratum).alias("stratum"), "source", F.coalesce("sampled", F.lit(0)).cast("long").alias("sampled"), F.round(F.pow(F.lit(1 - fraction), F.col("source")), 6).alias("bernoulli_miss"))
 
 
+def thin_strata(counts: DataFrame, floor: int) -> DataFrame:
+    """Strata of a report of which fewer than `floor` rows, and not all, were taken, or none."""
+    return counts.where((F.col("sampled") < F.least(F.lit(floor), F.col("source"))) | (F.col("sampled") == 0)).select("stratum", "source", "sampled")
+
+
 def content_hash(df: DataFrame, fingerprint: Column) -> DataFrame:
-    """Rows, and sums over four 8-digit pieces of the rows' fingerprints: the same for any order, and mergeable."""
+    """Rows, and sums over four 8-digit pieces of the rows' fingerprints as text: the same for any order, and mergeable. Sums are
+    decimals of 38 digits, which no number of rows overflows."""
     f = df.select(fingerprint.alias("f"))
-    return f.agg(F.count(F.lit(1)).alias("n_rows"), *(F.sum(F.conv(F.substring("f", 1 + 8 * i, 8), 16, 10).cast("long")).alias(f"h{i}") for i in range(4)))
+    return f.agg(F.count(F.lit(1)).alias("n_rows"), *(F.coalesce(F.sum(F.conv(F.substring("f", 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").cast("string").alias(f"h{i}") for i in range(4)))

@@ -302,7 +302,7 @@ def field_diff(spark, d):
     return _diff(spark, d)
 
 
-RENAMES = f"with x as (select *, count(*) over (partition by dataset, type, change) as n from {DIFF} where change <> 'changed') select r.dataset, r.name as old, a.name as new from x r join x a using (dataset, type) where r.change = 'removed' and a.change = 'added' and r.n = 1 and a.n = 1"
+RENAMES = f"with x as (select *, count(*) over (partition by dataset, type, change) as n, row_number() over (partition by dataset, type, change order by name) as r from {DIFF} where change <> 'changed') select r.dataset, r.name as old, a.name as new from x r join x a using (dataset, type) where r.change = 'removed' and a.change = 'added' and r.r = 1 and a.n = 1"
 
 
 @query(RENAMES)
@@ -346,6 +346,27 @@ def lineage_drift(spark, d):
     return gov.lineage_drift(pairs.where("o_orderkey % 4 <> 0"), pairs.where("o_orderkey % 4 <> 1"))
 
 
+@query(f"""with h as {HITS}, b as (select * from h where consumer % 3 <> 0), d as (select dataset, count(*) filter (change = 'removed') as removed, count(*) filter (change = 'changed') as retyped from {DIFF} group by all)
+select dataset, removed, retyped, coalesce(a, 0) as affected, coalesce(k, 0) as blocking, coalesce(k, 0) = 0 as passed from d left join (select dataset, count(*) as a from h group by all) using (dataset) left join (select dataset, count(*) as k from b group by all) using (dataset) where removed + retyped > 0""")
+def impact_verdict(spark, d):
+    diff = _diff(spark, d)
+    hits = gov.affected(_usage(spark, d), diff)
+    acks = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("consumer"), F.lit("*").alias("field"), F.lit("7").alias("change"))
+    return gov.impact_verdict(diff, hits, gov.blocking(hits, acks, "7"))
+
+
+@query("""with f as (select distinct o_custkey as consumer, o_orderpriority as dataset from orders where o_orderkey % 4 <> 0), g as (select distinct o_custkey as consumer, o_orderpriority as dataset, o_custkey % 50 as repo from orders where o_orderkey % 4 <> 1)
+select consumer, dataset, 'UNREGISTERED CONSUMER' as finding from f where not exists (select 1 from g where g.consumer = f.consumer and g.dataset = f.dataset)
+union all select consumer, dataset, 'UNKNOWN DATASET' from g where dataset = '5-LOW'
+union all select consumer, dataset, 'STALE LINEAGE' from g where dataset <> '5-LOW' and repo <> 7 and not exists (select 1 from f where g.consumer = f.consumer and g.dataset = f.dataset)
+union all select distinct consumer, null, 'MISSING CONSUMER REPO' from g where repo = 7
+union all select distinct consumer, null, 'NO CODEOWNER' from g where consumer % 9 = 0""")
+def registration_findings(spark, d):
+    pairs = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("consumer"), F.col("o_orderpriority").alias("dataset"), (F.col("o_custkey") % 50).alias("repo"))
+    datasets = pairs.select("dataset").distinct().where("dataset <> '5-LOW'")
+    return gov.registration_findings(pairs.where("o_orderkey % 4 <> 0"), pairs.where("o_orderkey % 4 <> 1"), datasets, pairs.select("repo").distinct().where("repo <> 7"), pairs.select("consumer").where("consumer % 9 <> 0").distinct())
+
+
 @query(f"select dataset, name, consumer from {USAGE} u where name <> '*' and not exists (select 1 from {_fields_sql(10, 50)} c where c.dataset = u.dataset and c.name = u.name)")
 def dangling_fields(spark, d):
     return gov.dangling(_usage(spark, d), _fields(spark, d, 10, 50))
@@ -362,7 +383,7 @@ def stratified_sample_rows(spark, d):
     return sm.stratified(table(spark, d, "orders"), "o_orderpriority", "o_orderkey", 0.01, 5).select("o_orderkey", "o_orderpriority")
 
 
-@query("with f as (select sha256(cast(o_orderkey as varchar) || '|' || o_orderstatus) as f from orders) select count(*) as n_rows, " + ", ".join(f"cast(sum(cast('0x' || substr(f, {1 + 8 * i}, 8) as bigint)) as bigint) as h{i}" for i in range(4)) + " from f")
+@query("with f as (select sha256(cast(o_orderkey as varchar) || '|' || o_orderstatus) as f from orders) select count(*) as n_rows, " + ", ".join(f"cast(cast(coalesce(sum(cast('0x' || substr(f, {1 + 8 * i}, 8) as bigint)), 0) as hugeint) as varchar) as h{i}" for i in range(4)) + " from f")
 def content_hash(spark, d):
     return sm.content_hash(table(spark, d, "orders"), F.sha2(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus"), 256))
 
