@@ -21,7 +21,7 @@ def row_fingerprint(*columns: str) -> Column:
 
 
 def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
-    """Inner and outer pads of HMAC-SHA256; made on the driver, so that the key itself isn't in a plan."""
+    """Inner and outer pads of HMAC-SHA256. They are as secret as the key: as literals they would stand in the plan."""
     key = key.ljust(64, b"\0")
     return bytes(b ^ 0x36 for b in key), bytes(b ^ 0x5C for b in key)
 
@@ -33,6 +33,8 @@ def hmac_sha256(value: str | Column, inner: Column, outer: Column) -> Column:
 
 
 def token(value: str | Column, key: bytes) -> Column:
+    """HMAC-SHA256 with a key that needn't be kept from those who see plans, as of test data: its pads are literals. For secret
+    keys join the pads (operators.crypto.with_secrets) and use hmac_sha256."""
     inner, outer = hmac_pads(key)
     return hmac_sha256(value, F.lit(inner), F.lit(outer))
 

@@ -1,10 +1,16 @@
-"""Per-subject keys in a restricted versioned table, and catalog-driven protection of columns."""
+"""Per-subject keys in a restricted versioned table, and catalog-driven protection of columns.
+
+No key is a literal of a plan: plans are shown in the UI and kept in event logs. New keys are drawn in tasks from the system's
+random source, and the keys of the caller come from a row that is joined by broadcast.
+"""
 
 from __future__ import annotations
 
 import os
 import time
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +33,19 @@ def key_aad(subject: Column) -> Column:
     return F.concat(F.lit("keystore|"), subject)
 
 
+def with_secrets(df: DataFrame, **secrets: bytes) -> DataFrame:
+    """df with binary columns of the given names and values, which no plan shows: they come from an RDD's row."""
+    spark = df.sparkSession
+    row = spark.createDataFrame(spark.sparkContext.parallelize([(0, *map(bytearray, secrets.values()))], 1), ", ".join(["__one int", *(f"{k} binary" for k in secrets)]))
+    return df.withColumn("__one", F.pmod(F.monotonically_increasing_id(), F.lit(1)).cast("int")).join(F.broadcast(row), "__one").drop("__one")  # one row
+
+
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A new key of 256 bits for each row."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([os.urandom(32) for _ in range(batch.num_rows)], pa.binary())], names=["subject_id", "dek"])
+
+
 class KeyStore:
     def __init__(self, spark: SparkSession, path: str, kek: bytes):
         self.spark, self.kek, self.table = spark, kek, VersionedTable(spark, path)
@@ -34,9 +53,6 @@ class KeyStore:
     def _rows(self) -> DataFrame:
         return self.table.read() if self.table.versions() else self.spark.createDataFrame([], SCHEMA)
 
-    def _kek(self) -> Column:
-        return F.lit(self.kek)
-
     def get_or_create(self, subjects: DataFrame) -> DataFrame:
         """(subject_id, dek) for a batch of ids; nothing is written if any of them is erased."""
         ids = subjects.select(F.col(subjects.columns[0]).cast("string").alias("subject_id")).dropna().distinct()
@@ -44,10 +60,9 @@ class KeyStore:
         if not ids.join(known.where("destroyed_ts is not null"), "subject_id", "left_semi").isEmpty():
             raise SubjectErased("a subject of the batch is erased")
         fresh = ids.join(known, "subject_id", "left_anti")
-        # 256 random bits for each row; a column, so that it isn't folded to one value
-        salt = F.concat(F.lit(os.urandom(32)), F.uuid().cast("binary"), F.uuid().cast("binary"))
-        dek = F.transform(F.array(F.unhex(F.sha2(salt, 256))), lambda k: F.hex(F.aes_encrypt(k, self._kek(), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), key_aad(F.col("subject_id")))))[0]
-        rows = fresh.select("subject_id", F.lit(int(time.time() * 1000)).cast("long").alias("created_ts"), F.lit(None).cast("long").alias("destroyed_ts"), dek.alias("wrapped_dek"))
+        drawn = with_secrets(fresh.select("subject_id").mapInArrow(_drawn, "subject_id string, dek binary"), __kek=self.kek)
+        wrapped = F.hex(F.aes_encrypt("dek", F.col("__kek"), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), key_aad(F.col("subject_id"))))
+        rows = drawn.select("subject_id", F.lit(int(time.time() * 1000)).cast("long").alias("created_ts"), F.lit(None).cast("long").alias("destroyed_ts"), wrapped.alias("wrapped_dek"))
         if not fresh.isEmpty():
             self.table.append(rows, options=NO_STATS)
         return self.deks(ids)
@@ -56,7 +71,7 @@ class KeyStore:
         live = self._rows().where("destroyed_ts is null")
         if ids is not None:
             live = live.join(ids, "subject_id", "left_semi")
-        return live.select("subject_id", F.aes_decrypt(F.unhex("wrapped_dek"), self._kek(), F.lit("GCM"), F.lit("DEFAULT"), key_aad(F.col("subject_id"))).alias("dek"))
+        return with_secrets(live, __kek=self.kek).select("subject_id", F.aes_decrypt(F.unhex("wrapped_dek"), F.col("__kek"), F.lit("GCM"), F.lit("DEFAULT"), key_aad(F.col("subject_id"))).alias("dek"))
 
     def status(self, subject: str) -> str:
         r = self._rows().where(F.col("subject_id") == subject).select("destroyed_ts").first()
@@ -98,7 +113,8 @@ class KeyStore:
 def protect(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStore, platform_key: bytes, table: str) -> DataFrame:
     """Columns treated as the catalog says; nulls stay null, columns outside it are untouched.
 
-    A row with a subject-scoped value but no subject fails the whole call before anything is written.
+    A row with a subject-scoped value but no subject fails the whole call before anything is written. Columns that start with
+    two underscores are reserved.
     """
     known = {c: e for c, e in catalog.items() if c in df.columns and e["treatment"] != "NONE"}
     scoped = [c for c, e in known.items() if e.get("key_scope", "SUBJECT") == "SUBJECT"]
@@ -108,22 +124,23 @@ def protect(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeySto
         loose = F.col(subject).isNull() & F.greatest(*(F.col(c).isNotNull() for c in scoped), F.lit(False))
         if not df.where(loose).isEmpty():
             raise ValueError("a subject-scoped value has no subject")
-        deks = store.get_or_create(df.select(subject)).select(F.col("subject_id").alias("_s"), F.col("dek").alias("_dek"))
+        deks = store.get_or_create(df.select(subject)).select(F.col("subject_id").alias("__s"), F.col("dek").alias("__dek"))
         deks = F.broadcast(deks) if deks.count() <= BROADCAST_KEYS else deks
-        df_ = df.join(deks, F.col(subject).cast("string") == F.col("_s"), "left")
+        df_ = df.join(deks, F.col(subject).cast("string") == F.col("__s"), "left")
     else:
         df_ = df
     inner, outer = hmac_pads(platform_key)
-    own_inner = F.transform(F.array("_dek"), lambda k: _xor(k, 0x36))[0] if scoped else None
-    own_outer = F.transform(F.array("_dek"), lambda k: _xor(k, 0x5C))[0] if scoped else None
+    df_ = with_secrets(df_, __inner=inner, __outer=outer)
+    own_inner = F.transform(F.array("__dek"), lambda k: _xor(k, 0x36))[0] if scoped else None
+    own_outer = F.transform(F.array("__dek"), lambda k: _xor(k, 0x5C))[0] if scoped else None
 
     def treated(c: str) -> Column:
         if c not in known:
             return F.col(c)
         if known[c]["treatment"] == "ENCRYPT_AESGCM":
-            return encrypt(F.col(c).cast("string"), F.col("_dek"), aad(F.col(subject), table, c)).alias(c)
+            return encrypt(F.col(c).cast("string"), F.col("__dek"), aad(F.col(subject), table, c)).alias(c)
         platform = known[c].get("key_scope") == "PLATFORM"
-        return hmac_sha256(F.col(c).cast("string"), F.lit(inner) if platform else own_inner, F.lit(outer) if platform else own_outer).alias(c)
+        return hmac_sha256(F.col(c).cast("string"), F.col("__inner") if platform else own_inner, F.col("__outer") if platform else own_outer).alias(c)
 
     return df_.select(*(treated(c) for c in df.columns))
 
@@ -142,9 +159,9 @@ def aad(subject: Column, table: str, column: str) -> Column:
 def reveal(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStore, table: str) -> DataFrame:
     """Encrypted columns in plain text; tokens stay, plain values pass, values of erased subjects are null."""
     known = [c for c, e in catalog.items() if c in df.columns and e["treatment"] == "ENCRYPT_AESGCM"]
-    deks = store.deks().select(F.col("subject_id").alias("_s"), F.col("dek").alias("_dek"))
-    out = df.join(deks, F.col(subject).cast("string") == F.col("_s"), "left")
-    return out.select(*(F.when(F.col(c).startswith("enc:v1:"), decrypt(c, F.col("_dek"), aad(F.col(subject), table, c))).otherwise(F.col(c)).alias(c) if c in known else F.col(c) for c in df.columns))
+    deks = store.deks().select(F.col("subject_id").alias("__s"), F.col("dek").alias("__dek"))
+    out = df.join(deks, F.col(subject).cast("string") == F.col("__s"), "left")
+    return out.select(*(F.when(F.col(c).startswith("enc:v1:"), decrypt(c, F.col("__dek"), aad(F.col(subject), table, c))).otherwise(F.col(c)).alias(c) if c in known else F.col(c) for c in df.columns))
 
 
 def decrypt_view(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStore, table: str, subject_id: str) -> DataFrame:
@@ -156,3 +173,9 @@ def decrypt_view(df: DataFrame, catalog: dict[str, dict], subject: str, store: K
 def nonce_reuse(df: DataFrame, column: str, scope: str) -> DataFrame:
     """(scope, nonce) pairs that occur more than once among encrypted values."""
     return df.where(F.col(column).startswith("enc:v1:")).groupBy(scope, F.split(column, ":")[2].alias("nonce")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def audited(df: DataFrame, column: str, scope: str) -> DataFrame:
+    """n encrypted values, and how many of them share their nonce with another of the same scope."""
+    n = df.where(F.col(column).startswith("enc:v1:")).agg(F.count(F.lit(1)).alias("n"))
+    return n.crossJoin(nonce_reuse(df, column, scope).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("reused")))  # one row each

@@ -1,22 +1,29 @@
 """Versioned Parquet tables: numbered commits that list files, copy-on-write changes, vacuum; backups with manifests.
 
-Layout: <table>/data/*.parquet and <table>/log/<20 digits>.json. A commit is made by creating the next log file, which fails
-if another writer was first. Logs hold no predicate and no statistics, so a deleted subject isn't named there. Paths are
+Layout: <table>/data/*.parquet and <table>/log/<20 digits>.json. A commit is written aside and then renamed to the next log
+file, which fails if another writer was first, so readers never see half of one. Logs hold no predicate and no statistics, so a deleted subject isn't named there. Paths are
 opened through Hadoop's file systems, so a table can be in any store that Spark reaches.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import time
 import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
+import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 GUARD_HOURS = 168
+MANIFEST = "key string, size long, sha256 string"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -83,14 +90,19 @@ class VersionedTable:
 
     def _commit(self, last: Commit | None, op: str, schema: str, files: list[str], rows: int, properties: dict | None = None) -> Commit:
         new = Commit(last.version + 1 if last else 0, op, schema, files, properties if properties is not None else (last.properties if last else {}), rows, int(time.time() * 1000))
-        target = f"{self.path}/log/{new.version:020d}.json"
+        target, aside = f"{self.path}/log/{new.version:020d}.json", f"{self.path}/log/.{uuid.uuid4().hex}"
         fs, path = _fs(self.spark, target)
-        try:
-            out = fs.create(path(target), False)
-        except Exception as e:
-            raise ConcurrentCommit(f"version {new.version} exists") from e
+        out = fs.create(path(aside), False)
         out.write(bytearray(json.dumps(asdict(new)).encode()))
         out.close()
+        jvm, sc = self.spark.sparkContext._jvm, self.spark.sparkContext
+        plain = sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)  # no overwriting
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(path(target)).toUri(), sc._jsc.hadoopConfiguration())
+        try:
+            files.rename(fs.makeQualified(path(aside)), fs.makeQualified(path(target)), plain)
+        except Py4JJavaError as e:
+            fs.delete(path(aside), False)
+            raise ConcurrentCommit(f"version {new.version} exists") from e
         return new
 
     def _write(self, df: DataFrame, options: dict | None = None) -> list[str]:
@@ -137,12 +149,13 @@ class VersionedTable:
         rows = sum(r.n for r in found)
         if not rows:
             return last
-        touched = [f for f in last.files if any(r.f.endswith(f) for r in found)]
+        names = {"/".join(unquote(r.f).split("/")[-3:]) for r in found}  # data/<write>/<file>
+        touched = [f for f in last.files if f in names]
         part = self.spark.read.schema(df.schema).parquet(*(f"{self.path}/{f}" for f in touched))
         hit = F.coalesce(hit, F.lit(False))
         kept = part.where(~hit) if new is None else part.select(*(F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in df.columns))
         files = self._write(kept, options)
-        return self._commit(last, op, last.schema, [f for f in last.files if f not in touched] + files, rows)
+        return self._commit(last, op, last.schema, [f for f in last.files if f not in names] + files, rows)
 
     def delete(self, hit: Column) -> Commit:
         """Rewrites the files that hold matching rows; rows_changed of the commit says how many went."""
@@ -179,31 +192,99 @@ class VersionedTable:
         return logs.where(F.contains("value", F.lit(subject))).count()
 
 
+def tables_below(spark: SparkSession, root: str) -> list[str]:
+    """Relative names of the tables below root: folders that hold a log of commits."""
+    return sorted({m[1] for k in list_keys(spark, root) if (m := re.fullmatch(r"(.+)/log/\d{20}\.json", k))})
+
+
+def _arrow(path: str):
+    """A file system and a path in it, inside a task."""
+    from pyarrow import fs
+
+    path = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "/", path))
+    return fs.FileSystem.from_uri(path)
+
+
+def _streamed(source: str, target: str | None):
+    """key, size, sha256 of objects below source, a piece at a time; copied to target on the way, where there is one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import_fs, base = _arrow(source)
+        for pdf in batches:
+            rows = []
+            for key in pdf["key"]:
+                digest, size, out = hashlib.sha256(), 0, None
+                if target:
+                    to, root = _arrow(target)
+                    to.create_dir(f"{root}/{key}".rsplit("/", 1)[0], recursive=True)
+                    out = to.open_output_stream(f"{root}/{key}")
+                with import_fs.open_input_stream(f"{base}/{key}") as stream:
+                    while piece := stream.read(1 << 20):
+                        digest.update(piece)
+                        size += len(piece)
+                        if out:
+                            out.write(piece)
+                if out:
+                    out.close()
+                rows.append((key, size, digest.hexdigest()))
+            yield pd.DataFrame(rows, columns=["key", "size", "sha256"])
+
+    return run
+
+
+def _keys(spark: SparkSession, root: str) -> DataFrame:
+    names = [(k,) for k in list_keys(spark, root) if not k.rsplit("/", 1)[-1].startswith(".")]
+    return spark.createDataFrame(names, "key string").repartition(max(1, min(len(names), 200)))
+
+
 def freeze(spark: SparkSession, source: str, root: str, label: str) -> DataFrame:
-    """Copies all objects below source to root/label and writes their manifest (key, size, sha256) last. Never overwrites."""
+    """Copies all objects below source to root/label, in tasks, and writes their manifest (key, size, sha256) last. Never overwrites."""
     target = f"{root}/{label}"
     fs, path = _fs(spark, target)
     if fs.exists(path(target)):
         raise FileExistsError(label)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for key in list_keys(spark, source):
-        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, path(f"{source}/{key}"), fs, path(f"{target}/objects/{key}"), False, conf)
-    rows = hashes(spark, f"{target}/objects")
-    rows.write.json(f"{target}/manifest")
-    return spark.read.schema("key string, size long, sha256 string").json(f"{target}/manifest")
+    _keys(spark, source).mapInPandas(_streamed(source, f"{target}/objects"), MANIFEST).write.json(f"{target}/manifest")
+    return manifest(spark, root, label)
+
+
+def manifest(spark: SparkSession, root: str, label: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(f"{root}/{label}/manifest")
+
+
+def labels(spark: SparkSession, root: str) -> list[str]:
+    """Backups that are complete: their manifest is there."""
+    return sorted({k.split("/")[0] for k in list_keys(spark, root) if re.fullmatch(r"[^/]+/manifest/_SUCCESS", k)})
+
+
+def latest(spark: SparkSession, root: str) -> str | None:
+    return max(labels(spark, root), default=None)
+
+
+def objects_by_table(manifest_rows: DataFrame) -> DataFrame:
+    """table, objects, bytes of a manifest; objects outside any table are of an empty one."""
+    owner = F.regexp_extract("key", "^(.+?)/(?:data|log)/", 1)
+    return manifest_rows.groupBy(owner.alias("table")).agg(F.count(F.lit(1)).alias("objects"), F.sum("size").alias("bytes"))
+
+
+def backups_holding(spark: SparkSession, root: str, key: str, subject: str) -> list[str]:
+    """label/table of the backups that hold rows of a subject. An unreadable table is an error, not an empty one."""
+    out = []
+    for label in labels(spark, root):
+        for name in tables_below(spark, f"{root}/{label}/objects"):
+            df = VersionedTable(spark, f"{root}/{label}/objects/{name}").read()
+            if key in df.columns and not df.where(F.col(key).cast("string") == subject).isEmpty():
+                out.append(f"{label}/{name}")
+    return out
 
 
 def hashes(spark: SparkSession, root: str) -> DataFrame:
-    """key, size, sha256 of all objects below root, read on the executors."""
-    fs, path = _fs(spark, root)
-    base = fs.makeQualified(path(root)).toString().rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.select(F.replace(F.replace("path", F.lit("file:///"), F.lit("file:/")), F.lit(base.replace("file:///", "file:/")), F.lit("")).alias("key"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+    """key, size, sha256 of all objects below root, read in tasks a piece at a time."""
+    return _keys(spark, root).mapInPandas(_streamed(root, None), MANIFEST)
 
 
 def verify(spark: SparkSession, root: str, label: str) -> DataFrame:
     """key, problem (missing, unlisted, changed) of a backup; empty where all is well."""
-    want = spark.read.schema("key string, size long, sha256 string").json(f"{root}/{label}/manifest")
+    want = manifest(spark, root, label)
     have = hashes(spark, f"{root}/{label}/objects").select("key", F.col("sha256").alias("now"))
     problem = F.when(F.col("now").isNull(), "missing").when(F.col("sha256").isNull(), "unlisted").when(F.col("now") != F.col("sha256"), "changed")
     return want.join(have, "key", "full_outer").select("key", problem.alias("problem")).where("problem is not null")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accordium.operators.crypto import KeyStore, SubjectErased, decrypt_view, nonce_reuse, protect, reveal
-from accordium.plans.erasure import Erasure
+from accordium.plans.erasure import Erasure, notification, probes
 from accordium.sources import lake
 
 KEK, PLATFORM = bytes(range(32)), bytes(range(32, 64))
@@ -60,7 +60,7 @@ def test_backup(spark, people, tmp_path):
         lake.freeze(spark, str(tmp_path / "t"), str(tmp_path / "b"), "one")
     victim = next((tmp_path / "b/one/objects/log").glob("*.json"))
     victim.write_text("changed")
-    (victim.parent / f".{victim.name}.crc").unlink()
+    (victim.parent / f".{victim.name}.crc").unlink(missing_ok=True)
     assert [r.problem for r in lake.verify(spark, str(tmp_path / "b"), "one").collect()] == ["changed"]
 
 
@@ -112,7 +112,7 @@ def test_erasure(spark, people, tmp_path):
     for p in paths.values():
         lake.VersionedTable(spark, p).append(people)
     e = Erasure(spark, paths, "id", store, str(tmp_path / "audit"), PLATFORM)
-    assert e.run("S1", "r0", "S2", dry_run=True)["dry_run"] and len(e.intake("S1")) == 2
+    assert e.default_control("S0") == "S1" and e.run("S1", "r0", "S2", dry_run=True)["dry_run"] and len(e.intake("S1")) == 2
     done = e.run("S1", "r1", "S2")
     assert done["verified"] and done["rows_deleted"] == 8 and done["rerun_of"] is None
     again = e.run("S1", "r2", "S2")
@@ -120,3 +120,49 @@ def test_erasure(spark, people, tmp_path):
     assert e.audit.log_residue("S1") == 0
     with pytest.raises(lake.AppendOnly):
         e.audit.delete(F.lit(True))
+
+
+def test_erasure_finds_everything(spark, people, tmp_path):
+    """A table that the catalog doesn't list, a frozen backup and the readers of the subject key end up in the audit row."""
+    store = KeyStore(spark, str(tmp_path / "keys"), KEK)
+    root = tmp_path / "lake"
+    for name in ("known", "deep/forgotten", "plain"):
+        lake.VersionedTable(spark, str(root / name)).append(people if name != "plain" else people.select("n"))
+    lake.freeze(spark, str(root), str(tmp_path / "backups"), "2024-01-01")
+    assert lake.latest(spark, str(tmp_path / "backups")) == "2024-01-01" and lake.tables_below(spark, str(root)) == ["deep/forgotten", "known", "plain"]
+    sizes = {r.table: r.objects for r in lake.objects_by_table(lake.manifest(spark, str(tmp_path / "backups"), "2024-01-01")).collect()}
+    assert set(sizes) == {"known", "deep/forgotten", "plain"} and min(sizes.values()) >= 2
+    usage = spark.createDataFrame([("bi", "known", "id"), ("ml", "known", "*"), ("x", "known", "n")], "consumer string, dataset string, name string")
+    e = Erasure(spark, {"known": str(root / "known")}, "id", store, str(tmp_path / "audit"), PLATFORM, roots=[str(root)], backups=str(tmp_path / "backups"), usage=usage)
+    assert [(h.name, h.source, h.rows) for h in e.intake("S1")] == [("deep/forgotten", "sweep", 4), ("known", "catalog", 4)]
+    done = e.run("S1", "r1")
+    assert done["verified"] and done["rows_deleted"] == 8 and done["control"] == "S0"
+    row = e.audit.read().first()
+    assert row.uncatalogued_tables == ["deep/forgotten"] and row.backups_covered == ["2024-01-01/deep/forgotten", "2024-01-01/known"] and row.downstream_to_notify == ["bi (known)", "ml (known)"]
+    assert [r.readable for r in probes(spark, e.audit.read(), {"known": str(root / "known"), "deep/forgotten": str(root / "deep/forgotten")}).collect()] == [False, False]
+    text = notification(e.audit.read()).first().message
+    assert "8 record(s) of 2 dataset(s)" in text and "1 backup set(s)" in text and "2 team(s)" in text and "S1" not in text
+    e.run("S1", "r2")
+    assert "under request r1" in notification(e.audit.read().where("request_id = 'r2'")).first().message
+
+
+def test_no_key_in_plans(spark, people, tmp_path):
+    from accordium.functions.scalars import hmac_pads
+
+    store = KeyStore(spark, str(tmp_path / "keys"), KEK)
+    plans = [df._jdf.queryExecution().toString() for df in (protect(people, CATALOG, "id", store, PLATFORM, "people"), store.deks(), reveal(people, CATALOG, "id", store, "people"))]
+    for secret in (KEK, PLATFORM, *hmac_pads(PLATFORM), bytes(store.get("S1"))):
+        for plan in plans:
+            assert secret.hex() not in plan.lower() and " ".join(f"{b:02X}" for b in secret[:8]) not in plan and "uuid" not in plan
+    deks = {bytes(r.dek) for r in store.deks().collect()}
+    assert len(deks) == 5 and all(len(d) == 32 for d in deks)
+    many = spark.range(2000).selectExpr("'one' as id", "'name' as name", "cast(null as string) as ssn", "cast(null as string) as shop", "id as n")
+    sealed = protect(many, CATALOG, "id", store, PLATFORM, "people").select("name").distinct()
+    assert sealed.count() == 2000  # a nonce for each value
+
+
+def test_half_a_commit_is_not_seen(spark, people, tmp_path):
+    t = lake.VersionedTable(spark, str(tmp_path / "t"))
+    t.append(people)
+    (tmp_path / "t/log/.aside").write_text("{")
+    assert t.versions() == [0] and t.append(people).version == 1 and t.read().count() == 40
