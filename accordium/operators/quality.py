@@ -8,8 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +72,8 @@ def unexpected(df: DataFrame, rule: Rule) -> Column | None:
     if k == "column_values_to_match_regex":
         try:  # at run time a wrong pattern would stop the other rules too
             df.sparkSession._jvm.java.util.regex.Pattern.compile(a["regex"])
-        except Py4JJavaError as e:
-            raise ValueError(f"invalid regex: {e.java_exception.getDescription()}") from e
+        except IllegalArgumentException as e:
+            raise ValueError(f"invalid regex: {str(e).splitlines()[0]}") from e
         wrong = ~c.rlike(a["regex"])
     elif k == "column_values_to_be_between":
         ends = ([c < a["min_value"]] if a.get("min_value") is not None else []) + ([c > a["max_value"]] if a.get("max_value") is not None else [])

@@ -13,7 +13,9 @@ from ..operators import quality as q
 from ..operators import quarantine as qr
 from ..operators import registry as reg
 from ..operators import sampling as sm
-from ..session import table
+from ..session import scratch, table
+from ..sources import generators as gen
+from ..sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,8 +225,10 @@ def encrypt_tamper_null(spark, d):
 
 @query("select count(*) as n, cast(0 as bigint) as reused from customer")
 def nonce_reuse_audit(spark, d):
-    sealed = _deks(spark, d).select(fn.encrypt("c_name", F.col("dek"), F.lit("x")).alias("blob")).groupBy(F.split("blob", ":")[2].alias("nonce")).agg(F.count(F.lit(1)).alias("k"))
-    return sealed.agg(F.sum("k").alias("n"), F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("reused"))
+    from ..operators.crypto import audited
+
+    sealed = _deks(spark, d).select("c_custkey", F.lit(1).alias("scope"), fn.encrypt("c_name", F.col("dek"), F.lit("x")).alias("blob"))
+    return audited(sealed, "blob", "scope")
 
 
 @query("""with v as (select c_custkey, case when c_custkey % 2 = 0 then lower(c_mktsegment) else left(c_name, 3) end as l from customer)
@@ -440,22 +444,93 @@ def dashboard_panels(spark, d):
     return table(spark, d, "events").agg(F.coalesce(F.max(F.when(F.col("event_type") == "purchase", F.col("value"))), F.lit(0)).alias("top"), F.sum((F.col("value") > 50).cast("long")).alias("high"), F.count(F.lit(1)).alias("n"))
 
 
+def _lake(spark, d) -> tuple[str, str]:
+    """Orders and customers as versioned tables of one lake; the customers aren't in the catalog."""
+    root = scratch(spark)
+    lake.VersionedTable(spark, f"{root}/orders").append(table(spark, d, "orders").withColumnRenamed("o_custkey", "subject"))
+    lake.VersionedTable(spark, f"{root}/crm/customer").append(table(spark, d, "customer").withColumnRenamed("c_custkey", "subject"))
+    lake.VersionedTable(spark, f"{root}/part").append(table(spark, d, "part"))
+    return root, f"{root}/orders"
+
+
+def _erasure(spark, d, **more):
+    from ..operators.crypto import KeyStore
+    from .erasure import Erasure
+
+    root, orders = _lake(spark, d)
+    keys = scratch(spark)
+    return root, Erasure(spark, {"orders": orders}, "subject", KeyStore(spark, f"{keys}/keys", KEY), f"{keys}/audit", KEY, roots=[root], **more)
+
+
 @query("select o_orderkey, o_custkey from orders where o_custkey <> 37")
 def subject_delete_survivors(spark, d):
-    return table(spark, d, "orders").where(~(F.col("o_custkey") == 37)).select("o_orderkey", "o_custkey")
+    t = lake.VersionedTable(spark, f"{scratch(spark)}/orders")
+    t.append(table(spark, d, "orders"))
+    t.delete(F.col("o_custkey") == 37)
+    return t.read(columns=["o_orderkey", "o_custkey"])
 
 
-@query("select 'orders' as holding, count(*) as n from orders where o_custkey = 37 union all select 'customer', count(*) from customer where c_custkey = 37")
+@query("select count(*) filter (o_custkey = 37) as deleted, count(*) as before, count(*) filter (o_custkey <> 37) as after, false as old_readable from orders")
+def delete_proof(spark, d):
+    t = lake.VersionedTable(spark, f"{scratch(spark)}/orders")
+    t.append(table(spark, d, "orders"))
+    n = t.read(0).count()
+    deleted = t.delete(F.col("o_custkey") == 37).rows_changed
+    t.vacuum(0, enforce=False)
+    return t.read().agg(F.lit(deleted).cast("long").alias("deleted"), F.lit(n).cast("long").alias("before"), F.count(F.lit(1)).alias("after"), F.lit(t.readable(0)).alias("old_readable"))
+
+
+@query("select 'orders' as holding, 'catalog' as source, count(*) as n from orders where o_custkey = 37 having count(*) > 0 union all select 'crm/customer', 'sweep', count(*) from customer where c_custkey = 37 having count(*) > 0")
 def holdings_count(spark, d):
-    o, c = table(spark, d, "orders").where("o_custkey = 37"), table(spark, d, "customer").where("c_custkey = 37")
-    return o.agg(F.count(F.lit(1)).alias("n")).select(F.lit("orders").alias("holding"), "n").union(c.agg(F.count(F.lit(1)).alias("n")).select(F.lit("customer"), "n"))
+    _, e = _erasure(spark, d)
+    return spark.createDataFrame([(h.name, h.source, h.rows) for h in e.intake("37")], "holding string, source string, n long")
 
 
-@query("select min(o_custkey) as control, count(*) filter (o_custkey = (select min(o_custkey) from orders where o_custkey <> 37)) as n from orders where o_custkey <> 37")
+@query("with k as (select min(cast(k as varchar)) as control from (select o_custkey as k from orders union all select c_custkey from customer) where k <> 37) select control, (select count(*) from orders where cast(o_custkey as varchar) = control) as n, true as verified from k")
 def control_intact(spark, d):
-    left = table(spark, d, "orders").where("o_custkey <> 37")
-    control = left.agg(F.min("o_custkey").alias("control"))
-    return left.join(F.broadcast(control), F.col("o_custkey") == F.col("control")).groupBy("control").agg(F.count(F.lit(1)).alias("n"))
+    root, e = _erasure(spark, d)
+    done = e.run("37", "r1")
+    left = lake.VersionedTable(spark, f"{root}/orders").read().where(F.col("subject").cast("string") == done["control"])
+    return left.agg(F.lit(done["control"]).alias("control"), F.count(F.lit(1)).alias("n"), F.lit(done["verified"]).alias("verified"))
+
+
+@query("""select 'r1' as request_id, 'crm/customer' as "table", (select count(*) from customer where c_custkey = 37) as rows, true as uncatalogued, cast(1 as bigint) as backup_sets where (select count(*) from customer where c_custkey = 37) > 0
+ union all select 'r1', 'orders', (select count(*) from orders where o_custkey = 37), false, 1 where (select count(*) from orders where o_custkey = 37) > 0""")
+def erasure_audit(spark, d):
+    from .erasure import backup_sets
+
+    backups = scratch(spark)
+    root, e = _erasure(spark, d, backups=backups)
+    lake.freeze(spark, root, backups, "one")
+    e.run("37", "r1")
+    audit = e.audit.read()
+    tables = reg.audit_tables(audit).join(audit.select("request_id", "uncatalogued_tables", backup_sets().alias("backup_sets")), "request_id")
+    return tables.select("request_id", "table", "rows", F.array_contains("uncatalogued_tables", F.col("table")).alias("uncatalogued"), "backup_sets")
+
+
+@query("""select o_orderkey as request_id, case when o_orderkey % 3 = 0 then 'Request ' || o_orderkey || ' to erase your data was completed on ' || strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC.' || chr(10) || 'The data had been erased under request ' || (o_orderkey + 1) || ' before; that was verified again.'
+ else 'Request ' || o_orderkey || ' to erase your data was completed on ' || strftime(o_orderdate, '%Y-%m-%d %H:%M') || ' UTC.' || chr(10) || o_custkey || ' record(s) of ' || (case when o_custkey > 0 then 1 else 0 end) || ' dataset(s) were deleted; their history can''t be restored.' end || chr(10) || 'The key of your personal data is destroyed, so encrypted copies in ' || (case when o_orderstatus = 'F' then 1 else 2 end) || ' backup set(s) can''t be read.'
+ || (case when o_orderkey % 2 = 0 then chr(10) || '1 team(s) that work with copies are notified.' else '' end) as message from orders""")
+def erasure_notification(spark, d):
+    from .erasure import notification
+
+    o, key = table(spark, d, "orders"), F.col("o_orderkey")
+    sets = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("a/x"), F.lit("a/y"))).otherwise(F.array(F.lit("a/x"), F.lit("b/x")))
+    return notification(o.select(key.cast("string").alias("request_id"), F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("completed_ts"), F.when(key % 3 == 0, (key + 1).cast("string")).alias("rerun_of"), F.col("o_custkey").alias("rows_deleted"), F.array(F.col("o_custkey"), F.lit(0).cast("long")).alias("rows_deleted_by_table"), sets.alias("backups_covered"), F.when(key % 2 == 0, F.array(F.lit("t"))).otherwise(F.array().cast("array<string>")).alias("downstream_to_notify"))).select(F.col("request_id").cast("long").alias("request_id"), "message")
+
+
+@query("select 'orders' as \"table\", true as whole, (select count(*) from orders) as n union all select 'crm/customer', true, (select count(*) from customer) union all select 'part', true, (select count(*) from part)")
+def backup_tables(spark, d):
+    root, _ = _lake(spark, d)
+    backups = scratch(spark)
+    lake.freeze(spark, root, backups, "2024-01-01")
+    bad = lake.verify(spark, backups, lake.latest(spark, backups)).count()
+    by = lake.objects_by_table(lake.manifest(spark, backups, "2024-01-01")).where("objects >= 2 and bytes > 0")
+    counts = None
+    for name in lake.tables_below(spark, f"{backups}/2024-01-01/objects"):
+        one = lake.VersionedTable(spark, f"{backups}/2024-01-01/objects/{name}").read().agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.union(one)
+    return by.join(counts, "table").select("table", F.lit(bad == 0).alias("whole"), "n")
 
 
 @query("""with a as (select c_custkey, c_nationkey, c_mktsegment, c_acctbal > 0 as ok, row_number() over (partition by c_nationkey order by c_custkey) as r from customer) select count(*) filter (r = 1 and ok and c_mktsegment <> 'BUILDING') as completed, count(*) filter (r > 1) as reruns from a""")
@@ -486,18 +561,32 @@ def usage_locations(spark, d):
 
 @query("select event_type, count(*) as n from events where value < 10 or value > 90 group by all")
 def stream_checkpoint(spark, d):
-    import tempfile
-    import uuid
-
     from ..streaming.checkpoint import run_once
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")).rstrip("/") + "/" + uuid.uuid4().hex
+    root = scratch(spark)
     schema = table(spark, d, "events").schema
     rules = suite(rule("column_values_to_be_between", column="value", min_value=10, max_value=90))
-    out = run_once(spark, d, schema, rules, f"{root}/out", f"{root}/state", "event_id", "events.parquet")
+    out = run_once(spark, d, schema, rules, f"{root}/out", f"{root}/state", "event_id", "events.parquet", "ts", "40 days")
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("select event_id, event_type, cast(json_extract(props, '$.k') as bigint) as k from events where event_type in ('click', 'purchase')")
+def framed_stream(spark, d):
+    """Events as framed JSON messages in files, read as a stream, stripped, decoded and held to two types."""
+    from ..streaming.checkpoint import framed_events
+
+    root, e = scratch(spark), table(spark, d, "events")
+    body = F.to_json(F.struct("event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k")))
+    e.select(F.concat(F.unhex(F.lit("0000000007")), F.encode(body, "UTF-8")).alias("value")).write.parquet(f"{root}/in")
+
+    def decode(raw: DataFrame) -> DataFrame:
+        return raw.select(F.from_json(F.decode("payload", "UTF-8"), "event_id long, event_type string, k long").alias("e")).select("e.*")
+
+    stream = framed_events(spark, "parquet", {"path": f"{root}/in"}, decode, "event_type", ("click", "purchase"))
+    stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
 @query("select l_orderkey % 97 as bucket, count(*) as n, count(*) filter (l_returnflag <> 'X') as kept from lineitem where l_shipdate >= timestamp '1995-01-01' group by all")
 def status_filter(spark, d):
     return table(spark, d, "lineitem").where(F.col("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz")).groupBy((F.col("l_orderkey") % 97).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") != "X").alias("kept"))
@@ -508,11 +597,41 @@ def nested_projection(spark, d):
     return table(spark, d, "events").withColumn("e", F.from_json("props", "k long")).select("event_id", F.col("e.k").alias("k"))
 
 
-@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders) union select min(c_custkey) from customer")
+@query("""with donors as (select * from orders where o_orderkey % 1000 = 1), bad as (select * replace (-o_totalprice as o_totalprice) from donors union all select * replace ('ZZ' as o_orderstatus) from donors), x as (select * from orders union all select * from bad)
+select o_orderkey, concat_ws(';', case when o_totalprice < 0 then 'column_values_to_be_between(o_totalprice)' end, case when o_orderstatus = 'ZZ' then 'column_values_to_be_in_set(o_orderstatus)' end, case when o_orderstatus = 'ZZ' then 'column_value_lengths_to_equal(o_orderstatus)' end) as labels from x where o_totalprice < 0 or o_orderstatus = 'ZZ'""")
 def bad_row_injection(spark, d):
+    orders = table(spark, d, "orders")
+    mixed = gen.with_bad_rows(orders, orders.where("o_orderkey % 1000 = 1"), [{"o_totalprice": -F.col("o_totalprice")}, {"o_orderstatus": F.lit("ZZ")}])
+    rules = suite(rule("column_values_to_be_between", column="o_totalprice", min_value=0), rule("column_values_to_be_in_set", column="o_orderstatus", value_set=["F", "O", "P"]), rule("column_value_lengths_to_equal", column="o_orderstatus", value=1))
+    return q.offending(mixed, rules).select("o_orderkey", F.concat_ws(";", "expectation").alias("labels"))
+
+
+@query("""with names as (select distinct p_type as name from part where p_size > 10), c as (select distinct p_type as name from part where p_size between 2 and 40), f as (select distinct p_type as name from part where p_size < 30 and p_partkey % 3 <> 0)
+select 'error' as level, 'suite column not in contract' as finding, name from names where name not in (select name from c) union all select 'error', 'fixture column not in contract', name from f where name not in (select name from c)
+union all select 'warning', 'fixture is stale', name from c where name not in (select name from f)""")
+def fixture_sets(spark, d):
+    from ..operators.fixtures import set_findings
+
+    part = table(spark, d, "part").withColumn("name", F.col("p_type"))
+    return set_findings(part.where("p_size > 10"), part.where("p_size between 2 and 40"), part.where("p_size < 30 and p_partkey % 3 <> 0"))
+
+
+@query("""select 'warning' as level, 'fixture is stale' as finding, 'c_extra' as name, cast(0 as bigint) as n union all select 'error', 'values that aren''t tokens', 'c_name', count(*) from customer
+union all select 'error', 'rule failed: column_values_to_be_between', 'c_acctbal', count(*) filter (c_acctbal < 0) from customer having count(*) filter (c_acctbal < 0) > 0
+union all select 'error', 'stratum below the floor', c_mktsegment, count(*) // 1000 from customer group by c_mktsegment having count(*) // 1000 < least(5, count(*)) or count(*) // 1000 = 0""")
+def fixture_gate(spark, d):
+    from ..operators import fixtures
+
     c = table(spark, d, "customer")
-    idle = c.join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
-    return idle.unionByName(c.agg(F.min("c_custkey").alias("c_custkey"))).distinct()
+    strata = c.groupBy(F.col("c_mktsegment").alias("stratum")).agg(F.count(F.lit(1)).alias("source")).withColumn("sampled", F.floor(F.col("source") / 1000))
+    return fixtures.gate(c, suite(rule("column_values_to_be_between", column="c_acctbal", min_value=0)), [*c.columns, "c_extra"], fixtures.content(c), strata, 5, ["c_name", "c_missing"])
+
+
+@query("select ordinal, expectation, target, success, unexpected_count, case when ordinal = 1 then 'invalid regex' end as error from (" + " union all ".join([_counted(0, "column_values_to_be_between", "c_acctbal", "c_acctbal < 0", "customer"), _row(1, "column_values_to_match_regex", "c_name", "false", "0", "(select 1)"), _dups(2, "c_nationkey", "customer")]) + ")")
+def suite_with_errors(spark, d):
+    rules = suite(rule("column_values_to_be_between", column="c_acctbal", min_value=0), rule("column_values_to_match_regex", column="c_name", regex="("), rule("column_values_to_be_unique", column="c_nationkey"))
+    found, _ = q.validate(table(spark, d, "customer"), rules)
+    return found.drop("sample").withColumn("error", F.regexp_extract("error", "^[^:]+", 0))
 
 
 CATALOG_SQL = """(select p_brand as "table", 'c' || (p_partkey % 40) as name, p_partkey, ['DIRECT_IDENTIFIER', 'QUASI_IDENTIFIER', 'NOT_PII', 'OTHER'][p_size % 4 + 1] as class,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder name below the one that driver and executors share: spark.checkpoint.dir. Only a local session, as in tests,
+    may go without; elsewhere a folder of one machine would be lost to the others."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir isn't set")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return f"{found.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables; only Spark opens the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

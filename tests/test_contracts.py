@@ -61,8 +61,8 @@ def test_avro_frames(spark):
 
 def test_lineage(spark):
     source = 'df = spark.table("t")\ndf.select("a", F.col("b"), *cols)\ndf["c"]\ndf.groupBy("*")\n'
-    got = {(r.line, r.kind, r.name) for r in lineage.scan(spark.createDataFrame([("x.py", source), ("y.py", "def (")], "path string, source string")).collect()}
-    assert {(1, "table", "t"), (2, "field", "a"), (2, "field", "b"), (2, "dynamic", ""), (3, "field", "c"), (4, "wildcard", "*")} <= got
+    got = {(r.line, r.kind, r.name) for r in lineage.scan(spark.createDataFrame([("c", "x.py", source), ("c", "y.py", "def (")], "consumer string, path string, source string")).collect()}
+    assert {(1, "literal", "t"), (2, "field", "a"), (2, "field", "b"), (2, "dynamic", ""), (3, "field", "c"), (4, "wildcard", "*")} <= got
     assert any(k == "error" for _, k, _ in got)
     assert lineage.sql_columns(spark, "a + coalesce(b, 1)") == {"a", "b"}
 
