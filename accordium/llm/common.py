@@ -17,9 +17,11 @@ SLICE_BYTES = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session (tests) gets one of its own where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir isn't set")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -89,6 +91,17 @@ def one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def words_of(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, A-Z lower-cased, between ASCII blanks; each word's number among them, and how many a text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = split.flatten()
+    real = pc.not_equal(flat, "")  # blanks at either end leave empty strings
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    coded = flat.filter(real).dictionary_encode()
+    counts = np.bincount(text[real.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return bytes_of(coded.dictionary), coded.indices.to_numpy().astype(np.int64), counts
+
+
 def offsets(counts: np.ndarray | list[int]) -> np.ndarray:
     """0 and the running sums."""
     out = np.zeros(len(counts) + 1, np.int64)

@@ -20,39 +20,46 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import LOWER, offsets, slices, texts_of, written
+from .common import offsets, slices_of, words_of, written
 from .graph import components
 
 #: Of eight parts of the key space, so many take part in the first step.
 SHARE = 3
+#: Keys that are held against each other in one group, about.
+PART = 1_000_000
 #: Ids of classes are broadcast up to so many (8 bytes each); beyond that Spark shuffles both sides.
 BROADCAST_IDS = 2_000_000
 #: Where groups meet in a shingle, so many that precede it in either prefix are looked through for an earlier meeting.
 LOOK_BACK = 32
 
 
-def shingle_sets(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]:
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle keys of each text."""
-    split = [t.translate(LOWER).split() if t else [] for t in texts]
-    counts = [len(s) for s in split]
-    starts = offsets(counts).tolist()
-    hashes = np.fromiter((h for s in split for h in map(xxh3_64_intdigest, s)), np.uint64, starts[-1])
-    for i, n in enumerate(counts):
-        own = hashes[starts[i] : starts[i + 1]]
-        k = min(width, n)
-        key = np.full(max(0, n - k + 1) if n else 0, k, np.uint64)
-        for j in range(k):
-            key = (key ^ own[j : j + len(key)]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        yield np.unique(key).view(np.int64)
+    names, of, counts = words_of(texts)
+    hashes = np.fromiter(map(xxh3_64_intdigest, names), np.uint64, len(names)).take(of)
+    # keys of all places; those of a text with fewer words than a shingle has are made apart
+    key = np.full(max(0, len(hashes) - width + 1), width, np.uint64)
+    for j in range(width):
+        key = (key ^ hashes[j : j + len(key)]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    ends = np.cumsum(counts).tolist()
+    for n, end in zip(counts.tolist(), ends, strict=True):
+        own = key[end - n : max(end - n, end - width + 1)]
+        if 0 < n < width:
+            own = np.full(1, n, np.uint64)
+            for h in hashes[end - n : end]:
+                own = (own ^ h) * np.uint64(0x9E3779B97F4A7C15)
+                own ^= own >> np.uint64(29)
+        yield np.unique(own).view(np.int64)
 
 
 def class_of(keys: np.ndarray) -> int | None:
-    return struct.unpack("<q", blake2b(keys.tobytes(), digest_size=8).digest())[0] if len(keys) else None
+    return (struct.unpack("<q", blake2b(keys.tobytes(), digest_size=8).digest())[0] or 1) if len(keys) else None  # 0 stands for several
 
 
 def _list(arrays: list[np.ndarray]) -> pa.Array:
@@ -64,15 +71,50 @@ def _sets(width: int, only: bool, share: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                sets = list(shingle_sets(texts[a:b], width))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            for a, b in slices_of(texts):
+                sets = list(shingle_sets(texts.slice(a, b - a), width))
                 cols = [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _list(sets if only else [s[(s & 7) < share] for s in sets])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *cols], names=["doc_id", "cls", "n", "keys"])
 
     return run
 
 
+def _parted(parts: int):
+    """For each part of the key space a row of this batch's keys, each once, with its class; 0 where two classes have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            keys = lists.flatten().to_numpy().view(np.uint64)
+            cls = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(lists).to_numpy())
+            order = np.argsort(keys)
+            keys, cls = keys[order], cls[order]
+            if not len(keys):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            one = np.where(np.minimum.reduceat(cls, first) == np.maximum.reduceat(cls, first), cls[first], 0)
+            keys = keys[first]
+            part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # ascending, as the keys are
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(edges))
+            columns = [pa.array([v[edges[p] : edges[p + 1]].tobytes() for p in some], pa.binary()) for v in (keys, one)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *columns], names=["part", "keys", "cls"])
+
+    return run
+
+
+def _own(rows: pa.Table) -> pa.Table:
+    """cls, own: how many keys of this part only one class has."""
+    keys, cls = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("keys", np.uint64), ("cls", np.int64)))
+    order = np.argsort(keys)
+    keys, cls = keys[order], cls[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    low, high = np.minimum.reduceat(cls, first), np.maximum.reduceat(cls, first)
+    names, own = np.unique(low[(low == high) & (low != 0)], return_counts=True)
+    return pa.table({"cls": names, "own": own.astype(np.int64)})
+
+
 def _spare(n, percent: int):
     """So many of n shingles may be missing in a linked set."""
     return n - F.ceil(F.lit(percent) * n / 100)
@@ -143,8 +185,9 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 75, broadcast_
     schema = f"doc_id {kind}, cls long, n long, keys array<long>"
     base = written(docs.mapInArrow(_sets(width, False, SHARE), schema), "sets")
     classes = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("doc_id").alias("ids"))
-    shared = base.select("cls", F.explode("keys").alias("key")).groupBy("key").agg(F.min("cls").alias("cls"), F.max("cls").alias("other"))
-    own = shared.where("cls = other").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
+    many = base.agg(F.sum(F.size("keys"))).first()[0] or 0
+    parted = base.where("n > 0").select("cls", "keys").mapInArrow(_parted(max(1, -(-int(many) // PART))), "part long, keys binary, cls binary")
+    own = parted.groupBy("part").applyInArrow(_own, "cls long, own long").groupBy("cls").agg(F.sum("own").alias("own"))
     left = written(classes.join(own, "cls", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), percent)).select("cls", "doc_id"), "left")
     count = left.count()
     wanted = left.select("doc_id").where("doc_id is not null").distinct()
