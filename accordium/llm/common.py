@@ -35,6 +35,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files of a table that written() gave, once what was made from it is written itself."""
+    spark = df.sparkSession
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}  # one: all files of a table are in its folder
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold_of(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo parts; a null id is in fold 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import offsets, slices_of, words_of, written
+from .common import discard, offsets, slices_of, words_of, written
 from .graph import components
 
 #: Of eight parts of the key space, so many take part in the first step.
@@ -98,7 +98,8 @@ def _parted(parts: int):
             part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # ascending, as the keys are
             edges = np.searchsorted(part, np.arange(parts + 1))
             some = np.flatnonzero(np.diff(edges))
-            columns = [pa.array([v[edges[p] : edges[p + 1]].tobytes() for p in some], pa.binary()) for v in (keys, one)]
+            # within a part 32 bits tell keys apart well enough: two that look alike only make a class's own keys fewer
+            columns = [pa.array([v[edges[p] : edges[p + 1]].tobytes() for p in some], pa.binary()) for v in (keys.astype(np.uint32), one)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *columns], names=["part", "keys", "cls"])
 
     return run
@@ -106,7 +107,7 @@ def _parted(parts: int):
 
 def _own(rows: pa.Table) -> pa.Table:
     """cls, own: how many keys of this part only one class has."""
-    keys, cls = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("keys", np.uint64), ("cls", np.int64)))
+    keys, cls = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("keys", np.uint32), ("cls", np.int64)))
     order = np.argsort(keys)
     keys, cls = keys[order], cls[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -183,12 +184,14 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 75, broadcast_
     docs = docs.select("doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, cls long, n long, keys array<long>"
-    base = written(docs.mapInArrow(_sets(width, False, SHARE), schema), "sets")
+    sets = written(docs.mapInArrow(_sets(width, False, SHARE), schema), "sets")
+    base = written(sets.select("doc_id", "cls", "n"), "classes")
     classes = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("doc_id").alias("ids"))
-    many = base.agg(F.sum(F.size("keys"))).first()[0] or 0
-    parted = base.where("n > 0").select("cls", "keys").mapInArrow(_parted(max(1, -(-int(many) // PART))), "part long, keys binary, cls binary")
+    many = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
+    parted = sets.where("n > 0").select("cls", "keys").mapInArrow(_parted(max(1, -(-int(many) // PART))), "part long, keys binary, cls binary")
     own = parted.groupBy("part").applyInArrow(_own, "cls long, own long").groupBy("cls").agg(F.sum("own").alias("own"))
     left = written(classes.join(own, "cls", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), percent)).select("cls", "doc_id"), "left")
+    discard(sets)
     count = left.count()
     wanted = left.select("doc_id").where("doc_id is not null").distinct()
     chosen = docs.join(F.broadcast(wanted) if count <= broadcast_ids else wanted, "doc_id", "left_semi")

@@ -53,11 +53,15 @@ def best_fit(docs: DataFrame, size: Column | None = None, cluster: Column | None
     A null source is in conflict with no other. Repeated rows are packed each, in different bins, as copies are. Ties in
     size go by doc_id (null first), then by a hash of the text. An empty table gives an empty result.
     """
-    if capacity < 1 or group < 1:
-        raise ValueError("capacity and group must be positive")
     size = F.coalesce(F.octet_length("text"), F.lit(0)) if size is None else F.coalesce(size, F.lit(0))
     cluster = F.xxhash64("text") if cluster is None else cluster
-    rows = docs.select("doc_id", "source", size.cast("long").alias("n"), cluster.alias("cluster"), F.xxhash64("text").alias("print"))
+    return _packed(docs.select("doc_id", "source", size.cast("long").alias("n"), cluster.alias("cluster"), F.xxhash64("text").alias("print")), capacity, group)
+
+
+def _packed(rows: DataFrame, capacity: int, group: int) -> DataFrame:
+    """best_fit of rows (doc_id, source, n, cluster, print)."""
+    if capacity < 1 or group < 1:
+        raise ValueError("capacity and group must be positive")
     cuts = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0)).cast("long"))
     pieces = rows.select("doc_id", "source", "cluster", "print", "n", F.explode(cuts).alias("piece"))
     pieces = pieces.select("doc_id", "source", "cluster", "print", "piece", (F.col("piece") * capacity).alias("start"), F.least(F.col("n") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("size"))
@@ -65,7 +69,7 @@ def best_fit(docs: DataFrame, size: Column | None = None, cluster: Column | None
     groups = max(1, -(-int(many) // group))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "print", "piece"), F.lit(groups)))
     dealt = dealt.repartition(min(groups, MOST_TASKS), "part")  # by number: the rows are few bytes, but costly
-    kind = dict(docs.dtypes)["doc_id"]
+    kind = dict(rows.dtypes)["doc_id"]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "doc_id", "print", "piece"], ascending=[False, True, True, True], na_position="first", kind="stable")
@@ -81,7 +85,8 @@ def best_fit_apart(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP
 
     Rows are found again by a key of doc_id and text. Texts without words are in a cluster with equal ones only.
     """
-    rows = docs.select("doc_id", "text", "source", row_key().alias("key"))
-    found = ngram_jaccard(rows.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "n_shingles", "component_id").distinct()
-    cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.xxhash64("text"))
-    return best_fit(rows.join(found, "key"), cluster=cluster, capacity=capacity, group=group)
+    found = ngram_jaccard(docs.select(row_key().alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "n_shingles", "component_id").distinct()
+    # texts stay where they are: only their lengths and hashes are joined
+    rows = docs.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"), F.xxhash64("text").alias("print"), row_key().alias("key")).join(found, "key")
+    cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("print"))
+    return _packed(rows.select("doc_id", "source", "n", cluster.alias("cluster"), "print"), capacity, group)

@@ -427,3 +427,63 @@ def test_url_statistics_are_whole(spark):
     given = {r.page_id: r.shares for r in urls._with_shares(pages, sums, base).collect()}
     assert given[900] == given[901] == [base, 0.0] * 3 and np.allclose(given[1][:2], [202.5 / 205, np.log1p(200)])
     assert urls.url_filter(pages, sample_rows=3).count() == len(rows)
+
+
+def test_packing_conflicts(spark, docs):
+    """In the query's own output no bin holds two pieces of one source or of one cluster, and nothing is lost."""
+    near = [(100 + i, " ".join(f"x{k}" for k in range(40)) + f" end{i % 3}", "en", f"s{i % 4}", 0, "x", 1, "k") for i in range(12)]
+    rows = docs.unionByName(spark.createDataFrame(near, SCHEMA))
+    got = packing.best_fit_apart(rows, capacity=700, group=50).collect()
+    of = {(r.doc_id, r.text): r for r in rows.collect()}
+    comp = {r.doc_id: r.component_id for r in jaccard.ngram_jaccard(rows).collect()}
+    bins = {}
+    for r in got:
+        bins.setdefault(r.bin_id, []).append(r)
+    for own in bins.values():
+        assert sum(r.size for r in own) <= 700
+        ids = [r.doc_id for r in own if r.doc_id is not None and r.doc_id != 9]
+        sources = [next(d.source for (i, _), d in of.items() if i == k) for k in ids]
+        assert len([s for s in sources if s]) == len({s for s in sources if s}) and len({comp[k] for k in ids}) == len(ids)
+    assert sum(r.size for r in got) == sum(len((r.text or "").encode()) for r in rows.collect())
+
+
+def test_urls_by_brute_force(spark):
+    """Host, path and rule of every page of the smallest table against a plain loop."""
+    from accordium.session import table
+
+    pages = table(spark, "/root/testdata/sf0.01", "pages")
+    urls_of = {r.page_id: r.url for r in pages.collect()}
+    got = urls.url_filter(pages).collect()
+    assert len(got) == len(urls_of)
+    for r in got:
+        url = urls_of[r.page_id]
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), re.split("[/?#]", rest)[0])
+        path = re.split("[?#]", rest[len(host) :])[0]
+        fits = [(len(h + p), h + p, v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        assert (r.host, r.path, r.rule) == (host, path, max(fits)[1] if fits else None) and (not fits or r.verdict == max(fits)[2])
+
+
+def test_other_tokenizers(spark):
+    """A tokenizer whose tokens hold blanks encodes whole texts, as the library does."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = spark.createDataFrame([(1, "a  b\n c"), (2, None), (3, " don't  stop ")], "doc_id long, text string")
+    got = tokens.token_output(rows, path).orderBy("start").collect()
+    want = [[*t.encode(x or "", add_special_tokens=False).ids, 1] for x in ("a  b\n c", None, " don't  stop ")]
+    assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for w in want]
+
+
+def test_coder_beats_order_0():
+    """Ids that follow each other cost far less than their order-0 entropy, random ones little more."""
+    rng = np.random.default_rng(1)
+    p = rng.dirichlet(np.ones(500) * 0.2)
+    plain = rng.choice(500, 60_000, p=p)
+    entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    assert 8 * len(coder.encode(plain)) / len(plain) < 1.06 * entropy
+    words = [rng.choice(500, 3, p=p) for _ in range(60)]  # a block sees each about ten times
+    chained = np.concatenate([words[k] for k in rng.integers(0, 60, 20_000)])
+    assert 8 * len(coder.encode(chained)) / len(chained) < 0.8 * entropy
