@@ -106,14 +106,13 @@ def _parted(parts: int):
 
 
 def _own(rows: pa.Table) -> pa.Table:
-    """cls, own: how many keys of this part only one class has."""
+    """cls of each key of this part that only one class has."""
     keys, cls = (np.frombuffer(b"".join(rows[c].to_pylist()), t) for c, t in (("keys", np.uint32), ("cls", np.int64)))
     order = np.argsort(keys)
     keys, cls = keys[order], cls[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     low, high = np.minimum.reduceat(cls, first), np.maximum.reduceat(cls, first)
-    names, own = np.unique(low[(low == high) & (low != 0)], return_counts=True)
-    return pa.table({"cls": names, "own": own.astype(np.int64)})
+    return pa.table({"cls": low[(low == high) & (low != 0)]})
 
 
 def _spare(n, percent: int):
@@ -189,7 +188,7 @@ def ngram_jaccard(docs: DataFrame, width: int = 5, percent: int = 75, broadcast_
     classes = base.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("doc_id").alias("ids"))
     many = sets.agg(F.sum(F.size("keys"))).first()[0] or 0
     parted = sets.where("n > 0").select("cls", "keys").mapInArrow(_parted(max(1, -(-int(many) // PART))), "part long, keys binary, cls binary")
-    own = parted.groupBy("part").applyInArrow(_own, "cls long, own long").groupBy("cls").agg(F.sum("own").alias("own"))
+    own = parted.groupBy("part").applyInArrow(_own, "cls long").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
     left = written(classes.join(own, "cls", "left").where(F.coalesce("own", F.lit(0)) <= _spare(F.col("n"), percent)).select("cls", "doc_id"), "left")
     discard(sets)
     count = left.count()
