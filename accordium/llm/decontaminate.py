@@ -3,7 +3,7 @@
 Each item is cut into windows of `size` consecutive words (an item with fewer words is one window). A window is a set of
 short word shingles. For containment of the whole window one shingle is a sufficient prefix, so the window is indexed under
 its rarest shingle only, rarity being the shingle's count over all documents. Documents give a candidate row for each place
-whose shingle may be such a prefix (a bitmap of fixed size is tested first); Spark joins them with the index on the shingle,
+whose shingle may be such a prefix (a bitmap of fixed size of the prefixes is tested first); Spark joins them with the index on the shingle,
 drops those whose window would start before the first word or end after the last (positional and length bounds), and
 compares the words themselves, so the result is exact.
 """
@@ -18,12 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, offsets, slices, texts_of
+from .common import WORDS, offsets, slices, texts_of, written
 
 BITS = 22
 SHINGLE = 3
+#: Rows of item shingles that a task holds at a time, about.
+SLICE_ROWS = 50_000
 #: The window index is broadcast up to so many windows (about 100 bytes each); beyond that Spark shuffles both sides.
 BROADCAST_WINDOWS = 100_000
+#: Spreads small numbers, up to 3 billion of them within 63 bits.
+SPREAD = 0x9E3779B9
 
 
 def split_words(text: bytes | None) -> list[bytes]:
@@ -44,10 +48,15 @@ def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(crc32, words), np.uint64, len(words))
 
 
-def _item_shingles(size: int):
+def _item_shingles(size: int, most: int = SLICE_ROWS):
+    names, types = ("item_id", "gram", "len", "k", "at", "key"), (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+        out: list[tuple] = []
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("item_id", "gram", "len", "k", "at", "key")}
             for item, text in zip(batch.column(0).to_pylist(), texts_of(batch), strict=True):
                 words = split_words(text)
                 length = min(size, len(words))
@@ -55,17 +64,19 @@ def _item_shingles(size: int):
                 keys = shingle_keys(hashed(words), k).view(np.int64).tolist() if k else []
                 for start in range(len(words) - length + 1 if words else 0):
                     gram = b" ".join(words[start : start + length]).decode()
-                    for at in range(length - k + 1):
-                        for c, v in zip(out, (item, gram, length, k, at, keys[start + at]), strict=True):
-                            out[c].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out["item_id"], pa.string()), pa.array(out["gram"], pa.string()), *(pa.array(out[c], pa.int32()) for c in ("len", "k", "at")), pa.array(out["key"], pa.int64())], names=list(out))
+                    out += [(item, gram, length, k, at, keys[start + at]) for at in range(length - k + 1)]
+                    if len(out) >= most:
+                        yield table(out)
+                        out = []
+        if out:
+            yield table(out)
 
     return run
 
 
-def _bitmap(shingles: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """2^BITS bits, whatever the number of shingles, and the shingle lengths in use (three at most)."""
-    slots = shingles.select("k", F.shiftrightunsigned("key", 64 - BITS).alias("slot"))
+def _bitmap(keys: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """2^BITS bits, whatever the number of keys, and the shingle lengths in use (three at most)."""
+    slots = keys.select("k", F.shiftrightunsigned("key", 64 - BITS).alias("slot"))
     rows = slots.groupBy(F.shiftright("slot", 5).alias("word"), "k").agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int))) as bits")).collect()
     words = np.zeros(1 << (BITS - 5), np.uint32)
     for r in rows:
@@ -111,7 +122,8 @@ def _candidates(bitmap, ks, reach: int):
                 split = [split_words(t) for t in texts[a:b]]
                 words, counts = [w for s in split for w in s], [len(s) for s in split]
                 starts = offsets(counts)
-                out = [(ids[a + i], prints[a + i], n, 1, None, None, None, None) for i, n in enumerate(counts)]
+                # a text's own row matches no window; its key only spreads such rows over the join's tasks
+                out = [(ids[a + i], prints[a + i], n, 1, (a + i) * SPREAD, None, None, None) for i, n in enumerate(counts)]
                 for at, keys in _places(words, counts, bits, ks):
                     docs = np.searchsorted(starts, at, side="right") - 1
                     for p, key, d in zip(at.tolist(), keys.tolist(), docs.tolist(), strict=True):
@@ -137,7 +149,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadca
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    shingles = items.mapInArrow(_item_shingles(size), "item_id string, gram string, len int, k int, at int, key long")
+    shingles = written(items.mapInArrow(_item_shingles(size), "item_id string, gram string, len int, k int, at int, key long"), "shingles")
     bits, ks = _bitmap(shingles)
     bitmap = spark.sparkContext.broadcast(bits)
     seen = docs.select("text").mapInArrow(_count(bitmap, ks), "key long, n long").groupBy("key").agg(F.sum("n").alias("seen"))
@@ -145,15 +157,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadca
     index = (
         shingles.select("gram", "len", "k", "at", "key").distinct().join(seen, "key", "left")
         .groupBy("gram").agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "key", "at", "len", "k")).alias("p"))
-        .select("gram", F.col("p.key").alias("key"), F.col("p.at").alias("shift"), F.col("p.len").alias("len"), F.split("gram", " ").alias("want"))
+        .select("gram", F.col("p.key").alias("key"), F.col("p.at").alias("shift"), F.col("p.len").alias("len"), F.col("p.k").alias("k"), F.split("gram", " ").alias("want"))
     )
     owners = shingles.select("gram", "item_id").distinct()
-    index = index.join(owners, "gram").select("key", "shift", "len", "want", "item_id").persist()
+    index = written(index.join(owners, "gram").select("key", "shift", "len", "k", "want", "item_id"), "windows")
+    bits, ks = _bitmap(index)  # only prefixes from here on
+    bitmap = spark.sparkContext.broadcast(bits)
+    index = index.select(F.col("key").alias("prefix"), "shift", "len", "want", "item_id")
     if index.count() <= broadcast_windows:
         index = F.broadcast(index)
     rows = docs.mapInArrow(_candidates(bitmap, ks, size - 1), f"doc_id {dict(docs.dtypes)['doc_id']}, print long, n_words long, base long, key long, at long, low long, around string")
     start = F.col("at") - F.col("shift")
-    met = rows.join(index, "key", "left").where((F.col("base") == 1) | ((start >= 0) & (start + F.col("len") <= F.col("n_words")) & (F.slice(F.split("around", " "), (start - F.col("low") + 1).cast("int"), F.col("len")) == F.col("want"))))
+    met = rows.join(index, (F.col("key") == F.col("prefix")) & (F.col("base") == 0), "left").where((F.col("base") == 1) | ((start >= 0) & (start + F.col("len") <= F.col("n_words")) & (F.slice(F.split("around", " "), (start - F.col("low") + 1).cast("int"), F.col("len")) == F.col("want"))))
     hit = F.col("base") == 0
     by = met.groupBy("doc_id", "print").agg(F.sum("base").alias("rows"), F.max("n_words").alias("n_words"), F.collect_set(F.when(hit, F.struct(start.alias("a"), (start + F.col("len")).alias("b")))).alias("spans"), F.collect_set("item_id").alias("items"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +60,9 @@ def test_decontaminate(spark, docs):
             want.append((d.doc_id, len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)))
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert decontaminate.decontaminate(docs.limit(0), bench).isEmpty()
+    batch = pa.RecordBatch.from_pylist([{"item_id": r.item_id, "text": r.text} for r in bench.collect()])
+    whole, cut = ([r for part in decontaminate._item_shingles(10, most)(iter([batch])) for r in part.to_pylist()] for most in (1000, 3))
+    assert whole == cut and len(whole) > 40
     assert decontaminate.decontaminate(docs, bench.limit(0)).where("contaminated").isEmpty()
 
 
@@ -429,6 +433,15 @@ def test_url_statistics_are_whole(spark):
     assert urls.url_filter(pages, sample_rows=3).count() == len(rows)
 
 
+def test_packing_repeated_rows(spark):
+    """Rows that repeat id and text are dealt to many groups, and packed each."""
+    rows = spark.range(600).selectExpr("7L as doc_id", "'a b' as text", "cast(null as string) as source").union(spark.sql("select 8L, 'c', 's'"))
+    got = packing.best_fit(rows, capacity=30, group=50).collect()
+    assert len(got) == 601 and len({r.bin_id >> 32 for r in got}) > 6
+    same = [r.bin_id for r in got if r.doc_id == 7]
+    assert len(set(same)) == 600  # copies are in conflict
+
+
 def test_packing_conflicts(spark, docs):
     """In the query's own output no bin holds two pieces of one source or of one cluster, and nothing is lost."""
     near = [(100 + i, " ".join(f"x{k}" for k in range(40)) + f" end{i % 3}", "en", f"s{i % 4}", 0, "x", 1, "k") for i in range(12)]
