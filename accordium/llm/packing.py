@@ -62,17 +62,20 @@ def _packed(rows: DataFrame, capacity: int, group: int) -> DataFrame:
     """best_fit of rows (doc_id, source, n, cluster, print)."""
     if capacity < 1 or group < 1:
         raise ValueError("capacity and group must be positive")
-    cuts = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0)).cast("long"))
-    pieces = rows.select("doc_id", "source", "cluster", "print", "n", F.explode(cuts).alias("piece"))
-    pieces = pieces.select("doc_id", "source", "cluster", "print", "piece", (F.col("piece") * capacity).alias("start"), F.least(F.col("n") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("size"))
     many = rows.agg(F.sum(F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)))).first()[0] or 0
+    # equal rows are counted, then numbered, so that they are dealt to many groups
+    rows = rows.groupBy("doc_id", "source", "n", "cluster", "print").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    cuts = F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0)).cast("long"))
+    pieces = rows.select("doc_id", "source", "cluster", "print", "copy", "n", F.explode(cuts).alias("piece"))
+    pieces = pieces.select("doc_id", "source", "cluster", "print", "copy", "piece", (F.col("piece") * capacity).alias("start"), F.least(F.col("n") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("size"))
     groups = max(1, -(-int(many) // group))
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "print", "piece"), F.lit(groups)))
+    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "print", "piece", "copy"), F.lit(groups)))
     dealt = dealt.repartition(min(groups, MOST_TASKS), "part")  # by number: the rows are few bytes, but costly
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "doc_id", "print", "piece"], ascending=[False, True, True, True], na_position="first", kind="stable")
+        pdf = pdf.sort_values(["size", "doc_id", "print", "piece", "copy"], ascending=[False, True, True, True, True], na_position="first", kind="stable")
         sources, clusters = ([None if pd.isna(x) else x for x in pdf[c]] for c in ("source", "cluster"))
         found = pack_group(pdf["size"].tolist(), sources, clusters, capacity)
         return pdf[["doc_id", "piece", "start", "size"]].assign(bin_id=[(int(key[0]) << 32) + b for b, _ in found], bin_offset=[o for _, o in found])
