@@ -57,10 +57,11 @@ def scored(docs: DataFrame, score: Callable[[list[bytes | None]], np.ndarray]) -
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
 
 
-def filtered(docs: DataFrame, keep: Callable[[list[bytes | None]], np.ndarray]) -> DataFrame:
-    """The rows, with all their columns, whose text is kept."""
+def filtered(docs: DataFrame, keeper: Callable[[], Callable[[list[bytes | None]], np.ndarray]]) -> DataFrame:
+    """The rows, with all their columns, whose text is kept. Each task calls `keeper` once, for what tells texts to keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = keeper()
         for batch in batches:
             texts = texts_of(batch)
             for a, b in slices(texts):

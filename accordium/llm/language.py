@@ -238,10 +238,15 @@ def keep_identified(docs: DataFrame, least: float = 0.4) -> DataFrame:
     language or one only could be learned, all that have letters."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
 
-    def keep(texts: list[bytes | None]) -> np.ndarray:
-        if len(model.value.langs) < 2:
-            return np.array([_has_letter(t, words_of(t)) for t in texts], bool)
-        names, p = Scorer(model.value)(texts)
-        return (p >= least) & np.array([n != UNDETERMINED for n in names], bool)
+    def keeper():
+        score = Scorer(model.value)
+
+        def keep(texts: list[bytes | None]) -> np.ndarray:
+            if len(model.value.langs) < 2:
+                return np.array([_has_letter(t, words_of(t)) for t in texts], bool)
+            names, p = score(texts)
+            return (p >= least) & np.array([n != UNDETERMINED for n in names], bool)
+
+        return keep
 
-    return filtered(docs, keep)
+    return filtered(docs, keeper)

@@ -66,4 +66,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Dat
     model = train(docs, labels)
     if not model.learned:
         return docs
-    return filtered(docs, lambda texts: sigmoid(model.raw(features(texts))) >= threshold)
+    return filtered(docs, lambda: lambda texts: sigmoid(model.raw(features(texts))) >= threshold)
