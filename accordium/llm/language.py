@@ -17,7 +17,7 @@ from xxhash import xxh3_64_intdigest
 from .common import fold_of, offsets, slices, texts_of
 from .labelled import filtered
 
-#: Documents that the model is fitted on at most, chosen by a hash of their id.
+#: Documents that the model is fitted on at most, chosen by a hash of their text, so that the choice doesn't follow partitions.
 SAMPLE_ROWS = 8_000
 LONGEST = 5
 #: Characters that are handled at once; longer words go piece by piece, and no n-gram is lost between two.
@@ -204,7 +204,7 @@ class Scorer:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """The model of all words of the sample and of all their n-grams; other words are left to the n-grams."""
     known = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").where(fold_of("doc_id", 4) != 2)
-    chosen = known.select("doc_id", F.xxhash64("text").alias("print")).dropDuplicates(["print"]).orderBy(F.xxhash64("doc_id", "print"), "print").limit(sample_rows).select("print")
+    chosen = known.select(F.xxhash64("text").alias("print")).distinct().orderBy(F.xxhash64("print"), "print").limit(sample_rows)
     sample = known.withColumn("print", F.xxhash64("text")).join(F.broadcast(chosen), "print").select("text", "lang", "print")
     counts = sample.dropDuplicates(["print", "lang"]).select("text", "lang").mapInArrow(_count, "lang string, k int, key long, n long")
     return Model.of(counts.groupBy("lang", "k", "key").agg(F.sum("n").alias("n")).toArrow())
