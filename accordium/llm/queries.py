@@ -17,6 +17,9 @@ from . import urls as op6
 from . import language as op10
 from . import packing as op8
 from . import lm as op9
+from . import merkle as op11
+from . import bpe as op12
+from . import negatives as op13
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,9 +64,21 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.score(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.tampered_proofs(table(spark, sf_dir, "documents"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op6_url_filter": op6_url_filter, "op10_language": op10_language, "op8_best_fit": op8_best_fit, "op9_lm_score": op9_lm_score}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_output": op2_token_output, "op3_ngram_jaccard": op3_ngram_jaccard, "op4_media": op4_media, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op6_url_filter": op6_url_filter, "op10_language": op10_language, "op8_best_fit": op8_best_fit, "op9_lm_score": op9_lm_score, "op11_merkle_manifest": op11_merkle_manifest, "op12_bpe": op12_bpe, "op13_hard_negatives": op13_hard_negatives}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": op1.ORACLE}
+    return {"op1_decontaminate": op1.ORACLE, "op11_merkle_manifest": op11.ORACLE, "op13_hard_negatives": op13.ORACLE}
