@@ -7,7 +7,7 @@ neither: verdicts are carried by a key of doc_id and text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from accordium.llm.common import row_key, written
@@ -38,20 +38,34 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(row_key().alias("doc_id"), "text")
 
 
+def _free(docs: DataFrame) -> str:
+    """A name that no column of docs has, whatever its case."""
+    taken, name = {c.lower() for c in docs.columns}, "key"
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _by_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """docs joined with a column of distinct keys, which are broadcast only where they are few enough."""
-    keys = written(keys.select(F.col(keys.columns[0]).alias("_key")), "keys")
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, row_key() == F.col("_key"), how)
+    name = _free(docs)
+    keys = written(keys.select(F.col(keys.columns[0]).alias(name)), "keys")
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys, row_key() == F.col(name), how)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of linked documents: that with the least doc_id, a null one coming last."""
+    """One row of each group of linked documents: that with the least doc_id, a null one coming last. Of rows that repeat doc_id and
+    text, the first by the other columns stays (by those that can be ordered)."""
     placed = ngram_jaccard(_keyed(docs)).select(F.col("doc_id").alias("key"), "component_id")
     ids = docs.select(row_key().alias("key"), F.col("doc_id").isNull().alias("missing"), "doc_id").distinct()
     least = placed.distinct().join(ids, "key").groupBy("component_id").agg(F.min(F.struct("missing", "doc_id", "key")).alias("r"))
     kept = _by_keys(docs, least.select("r.key"), "left_semi")
     repeated = docs.groupBy("doc_id", F.xxhash64("text")).count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    if repeated.isEmpty():
+        return kept
+    place, rest = _free(docs), [F.col(f"`{c}`") for c, t in docs.dtypes if c not in ("doc_id", "text") and "map<" not in t and t != "variant"]
+    first = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy(*rest, "doc_id"))  # Spark cuts ranks before it shuffles
+    return kept.withColumn(place, first).where(F.col(place) == 1).drop(place)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
