@@ -44,14 +44,16 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of slices of texts. Where the tokenizer drops white space and no token reaches over it, which probes and a text of
-    every slice are held against, pieces between ASCII blanks are encoded once and remembered; else texts are encoded whole."""
+    """Ids of slices of texts. Where the tokenizer drops white space and no token reaches over it, which probes show on loading,
+    pieces between ASCII blanks are encoded once and remembered; else texts are encoded whole. Where it lower-cases, pieces of
+    ASCII are remembered in lower case, but not those that hold a special token's text in any case: it is matched as it stands."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.lower = self.fast = True
         self.forget()
         pieces = [p for t in _PROBES for p in t.split()]
@@ -126,12 +128,14 @@ class Encoder:
         if len(self.number) > REMEMBERED:
             self.forget()
         texts = pc.fill_null(texts, "")
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lower else texts)
+        split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         names = bytes_of(coded.dictionary)
+        if self.lower:
+            names = [self._lowered(p) for p in names]
         found = list(map(self.number.get, names))
         if None in found:
-            self._learn([p for p, k in zip(names, found, strict=True) if k is None])
+            self._learn(list(dict.fromkeys(p for p, k in zip(names, found, strict=True) if k is None)))
             found = list(map(self.number.__getitem__, names))
         number = np.array(found, np.int64).take(coded.indices.to_numpy())
         size = self.size.take(number)
@@ -141,15 +145,16 @@ class Encoder:
         edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
         return self.flat.take(at), np.diff(np.concatenate([[0], ends])[edges])
 
+    def _lowered(self, piece: bytes) -> bytes:
+        """A piece in lower case where that can't change its ids: letters with marks may be composed in one case only."""
+        if not piece.isascii():
+            return piece
+        low = piece.lower()
+        return piece if any(m in low for m in self.marks) else low
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END behind, and their numbers; a null text is an empty one."""
         ids, n = (self._by_pieces if self.apart else self._whole)(texts)
-        if self.apart and len(texts):  # a text of the slice, a short one, as the tokenizer itself has it
-            k = int(np.where(n > 0, n, 1 << 62).argmin())
-            a = int(n[:k].sum())
-            if ids[a : a + n[k]].tolist() != self._plain([texts[k].as_py() or ""])[0]:
-                self.apart = False
-                ids, n = self._whole(texts)
         out = np.full(len(ids) + len(n), END, np.int64)
         out[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
         return out, n + 1
