@@ -35,7 +35,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def _has_letter(text: bytes | None, words: list[bytes]) -> bool:
-    return any(97 <= w[0] <= 122 for w in words[:50]) or bool(text) and _LETTER.search(text.decode(errors="replace")) is not None
+    return any(97 <= w[0] <= 122 for w in words[:50]) or bool(text) and any(m[0].isalpha() for m in _LETTER.finditer(text.decode(errors="replace")))
 
 
 def _pieces(words: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
