@@ -130,9 +130,7 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        names = bytes_of(coded.dictionary)
-        if self.lower:
-            names = [self._lowered(p) for p in names]
+        names = bytes_of(self._lowered(coded.dictionary) if self.lower else coded.dictionary)
         found = list(map(self.number.get, names))
         if None in found:
             self._learn(list(dict.fromkeys(p for p, k in zip(names, found, strict=True) if k is None)))
@@ -145,12 +143,13 @@ class Encoder:
         edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
         return self.flat.take(at), np.diff(np.concatenate([[0], ends])[edges])
 
-    def _lowered(self, piece: bytes) -> bytes:
-        """A piece in lower case where that can't change its ids: letters with marks may be composed in one case only."""
-        if not piece.isascii():
-            return piece
-        low = piece.lower()
-        return piece if any(m in low for m in self.marks) else low
+    def _lowered(self, pieces: pa.Array) -> pa.Array:
+        """Pieces in lower case where that can't change their ids: letters with marks may be composed in one case only."""
+        low = pc.ascii_lower(pieces)
+        apart = pc.not_equal(pc.binary_length(pieces), pc.utf8_length(pieces))
+        for m in self.marks:
+            apart = pc.or_(apart, pc.match_substring(low, m))
+        return pc.if_else(apart, pieces, low)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END behind, and their numbers; a null text is an empty one."""
