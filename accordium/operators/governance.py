@@ -3,9 +3,11 @@ drift reverts, metrics and alerts. Every one is a join or an aggregate of DataFr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import order_statistics
+
 #: Ranks of classes and of treatments; tokens and encryption are equal.
 CLASS_RANK = {"NOT_PII": 0, "QUASI_IDENTIFIER": 1, "DIRECT_IDENTIFIER": 2}
 TREATMENT_RANK = {"NONE": 0, "TOKENIZE_HMAC": 1, "ENCRYPT_AESGCM": 1}
@@ -126,21 +128,15 @@ def worst_exit(workspaces: DataFrame) -> DataFrame:
 
 
 def latencies(runs: DataFrame, by: str, value: str, quantiles: tuple[float, ...] = (0.9,)) -> DataFrame:
-    """runs, the true median as p50, and nearest-rank quantiles, for each `by`. Null values are left out.
+    """runs, the true median as p50, and nearest-rank quantiles, for each `by`. Null and NaN values are left out.
 
-    Values are counted first, so what is ordered are distinct values, in a window that spills.
+    Ranks are found by counts that narrow from pass to pass (ranks.order_statistics): no group is sorted.
     """
-    counts = runs.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("by"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.groupBy("by").agg(F.sum("n").alias("runs"))
-    run = F.sum("n").over(Window.partitionBy("by").orderBy("v"))
-    placed = counts.withColumn("upto", run).join(sizes, "by")
-
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") >= rank, F.col("v")))
-
-    half = F.col("runs") / 2
-    out = placed.groupBy("by").agg(F.first("runs").alias("runs"), at(F.ceil(half)).alias("low"), at(F.floor(half) + 1).alias("high"), *(at(F.ceil(F.round(F.lit(q) * F.col("runs"), 9))).alias(f"p{round(100 * q)}") for q in quantiles))
-    return out.select(F.col("by").alias(by), "runs", ((F.col("low") + F.col("high")) / 2).alias("p50"), *(f"p{round(100 * q)}" for q in quantiles))
+    n = F.col("runs")
+    names = {f"p{round(100 * q)}": q for q in quantiles}
+    ranks = {"__low": F.ceil(n / 2), "__high": F.floor(n / 2) + 1, **{k: F.ceil(F.round(F.lit(q) * n, 9)) for k, q in names.items()}}
+    out = order_statistics(runs, by, value, ranks)
+    return out.select(by, "runs", ((F.col("__low") + F.col("__high")) / 2).alias("p50"), *names)
 
 
 def alerts(metrics: DataFrame, now: int) -> DataFrame:

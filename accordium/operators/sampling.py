@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import least_by_hash
+
 
 def target_rows(n: Column, fraction: float, floor: int) -> Column:
     """min(n, max(floor, n * fraction rounded half up))."""
@@ -14,15 +16,11 @@ def target_rows(n: Column, fraction: float, floor: int) -> Column:
 def stratified(df: DataFrame, stratum: str, key: str, fraction: float, floor: int, seed: str = "") -> DataFrame:
     """A sample without replacement of exact size in each stratum, null being one; rows are chosen by the sha256 of seed and key.
 
-    Ranks are cut per stratum by a top-k that Spark prunes before the shuffle, so a hot stratum isn't sorted whole. Columns
-    that start with two underscores and `sampling` are reserved.
+    The last hash that is taken is found by counts of hash prefixes (ranks.least_by_hash), so that no stratum is sorted, however
+    hot. Of rows that repeat a key any are taken; a null key never is. Columns that start with two underscores are reserved.
     """
-    n, s, k, r = (f"__sampling_{x}" for x in "nskr")
-    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias(n)).select(F.col(stratum).alias(s), target_rows(F.col(n), fraction, floor).alias(k))
     order = F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256)
-    ranked = df.withColumn(r, F.row_number().over(Window.partitionBy(stratum).orderBy(order, key)))
-    kept = ranked.join(F.broadcast(sizes), F.col(stratum).eqNullSafe(F.col(s))).where(F.col(r) <= F.col(k))
-    return kept.select(*df.columns)
+    return least_by_hash(df, stratum, order, target_rows(F.col("__rank_n"), fraction, floor))
 
 
 def report(df: DataFrame, sample: DataFrame, stratum: str, fraction: float) -> DataFrame:

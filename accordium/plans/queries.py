@@ -714,8 +714,12 @@ def json_leaf_diff(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from . import histories  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import histories  # noqa: F401
+
     return dict(SQL)

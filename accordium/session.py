@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "accordium") -> SparkSession:
@@ -39,3 +40,15 @@ def scratch(spark: SparkSession) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables; only Spark opens the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, read back: it is made once, and outlives a lost executor."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A written table, to be broadcast where it has at most so many rows; beyond that Spark shuffles both sides."""
+    return F.broadcast(df) if df.count() <= rows else df
