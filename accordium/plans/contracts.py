@@ -73,6 +73,6 @@ def lint(registry: dict[str, dict]) -> list[tuple[str, str]]:
         if not str(d.get("delta_path", "")).startswith("s3a://"):
             out.append((name, "path isn't s3a://"))
         for k in ("subject", "schema", "delta_path"):
-            if (other := seen.setdefault((k, d.get(k)), name)) != name:
+            if d.get(k) and (other := seen.setdefault((k, d[k]), name)) != name:
                 out.append((name, f"{k} is also that of {other}"))
     return out

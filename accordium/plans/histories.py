@@ -45,3 +45,44 @@ def compatibility_findings(spark, d):
 select o.subject, o.mode, count(x.problem) = 0 as passed, count(x.problem) as problems, count(distinct x.version) as versions from o left join x using (subject) group by all""")
 def compatibility_verdicts(spark, d):
     return compat.verdicts(*_schemas(spark, d))
+
+
+NONCE_SQL = "substr(sha256(cast(c_custkey % 700 as varchar)), 1, 24)"
+
+
+@query(f"""with u as (select cast(c_custkey as varchar) as "row", cast(c_nationkey as varchar) as key_id, {NONCE_SQL} as nonce, c_custkey % 2 as run from customer)
+select "row", key_id, nonce, first_value("row") over w as first, row_number() over w > 1 as refused from u window w as (partition by key_id, nonce order by run, "row" rows between unbounded preceding and current row)""")
+def nonce_guard(spark, d):
+    """Customers use nonces that repeat; half of them come in a second run that starts from the first one's state."""
+    from ..streaming.nonces import encrypted_uses, guard_once
+
+    root, c = scratch(spark), table(spark, d, "customer")
+    nonce = F.left(F.sha2((F.col("c_custkey") % 700).cast("string"), 256), F.lit(24))
+    sealed = c.select("c_custkey", "c_nationkey", F.concat(F.lit("enc:v1:"), nonce, F.lit(":x")).alias("blob"))
+    schema = sealed.schema
+    for run in (0, 1):
+        sealed.where(F.col("c_custkey") % 2 == run).write.mode("append").parquet(f"{root}/in")
+        guard_once(encrypted_uses(spark.readStream.schema(schema).parquet(f"{root}/in"), "c_custkey", "blob", "c_nationkey"), f"{root}/out", f"{root}/state")
+    return spark.read.schema("row string, key_id string, nonce string, first string, refused boolean").parquet(f"{root}/out")
+
+
+@query("""with e as (select *, case when event_id % 3 = 0 then 0 else 1 end as run from events), bad as (select run, event_id, user_id, value, concat_ws(';', case when value < 10 or value > 90 then 'column_values_to_be_between(value)' end, case when n > 1 then 'column_values_to_be_unique(user_id)' end) as labels from (select *, count(*) over (partition by run, user_id) as n from e))
+select 'row' as what, run as batch, cast(event_id as varchar) as name, labels, cast(1 as bigint) as n from bad where labels <> ''
+union all select 'rule', run, 'expect_column_values_to_be_between', cast(count(*) filter (value < 10 or value > 90) = 0 as varchar), count(*) filter (value < 10 or value > 90) from bad group by run
+union all select 'rule', run, 'expect_column_values_to_be_unique', cast(count(*) filter (labels like '%unique%') = 0 as varchar), count(*) filter (labels like '%unique%') from bad group by run
+union all select 'rule', run, 'expect_table_row_count_to_be_between', 'false', 0 from bad group by run""")
+def quarantine_exactly_once(spark, d):
+    """Two batches of events, the second of which is replayed after a lost commit: nothing is stored twice, and all rules are judged."""
+    from ..streaming import quarantine as qs
+    from .queries import rule, suite
+
+    rules = suite(rule("column_values_to_be_between", column="value", min_value=10, max_value=90), rule("column_values_to_be_unique", column="user_id"), rule("table_row_count_to_be_between", min_value=100_000_000))
+    root, e = scratch(spark), table(spark, d, "events").select("event_id", "user_id", "value")
+    for part in (F.col("event_id") % 3 == 0, F.col("event_id") % 3 != 0, None):
+        if part is None:
+            qs.forget_commit(spark, f"{root}/state")
+        else:
+            e.where(part).write.mode("append").parquet(f"{root}/in")
+        qs.quarantine_once(spark.readStream.schema(e.schema).parquet(f"{root}/in"), rules, f"{root}/out", f"{root}/state", {"dataset": "events", "suite": "events"})
+    rows = qs.kept(spark, f"{root}/out", qs.rows_schema(e.schema)).select(F.lit("row").alias("what"), F.col("batch").cast("int").alias("batch"), F.col("event_id").cast("string").alias("name"), F.concat_ws(";", "expectation").alias("labels"), F.lit(1).cast("long").alias("n"))
+    return rows.unionByName(qs.results(spark, f"{root}/out").select(F.lit("rule").alias("what"), F.col("batch").cast("int").alias("batch"), F.col("expectation").alias("name"), F.col("success").cast("string").alias("labels"), F.col("unexpected_count").alias("n")))

@@ -13,7 +13,7 @@ from ..operators import quality as q
 from ..operators import quarantine as qr
 from ..operators import registry as reg
 from ..operators import sampling as sm
-from ..session import scratch, table
+from ..session import scratch, table, written
 from ..sources import generators as gen
 from ..sources import lake
 
@@ -314,14 +314,16 @@ def rename_guess(spark, d):
     return gov.renames(_diff(spark, d))
 
 
-#: Line items are uses: suppliers read parts; every eleventh reads all of a dataset.
-USAGE = "(select distinct l_suppkey as consumer, p_brand as dataset, case when l_suppkey % 11 = 0 then '*' else 'p' || lpad(cast(p_partkey as varchar), 6, '0') end as name from lineitem join part on l_partkey = p_partkey)"
-HITS = f"(select distinct u.consumer, u.dataset, r.name as field from {USAGE} u join {DIFF} r on r.dataset = u.dataset and r.change = 'removed' and (u.name = r.name or u.name = '*'))"
+#: Line items are uses: suppliers read parts; every eleventh reads all of a dataset, of some others it can't be told what they read.
+USAGE = "(select distinct l_suppkey as consumer, p_brand as dataset, case when l_suppkey % 11 = 0 then '*' when l_suppkey % 13 = 5 then null else 'p' || lpad(cast(p_partkey as varchar), 6, '0') end as name from lineitem join part on l_partkey = p_partkey)"
+HITS = f"(select distinct u.consumer, u.dataset, r.name as field from {USAGE} u join {DIFF} r on r.dataset = u.dataset and r.change = 'removed' and (u.name = r.name or u.name = '*' or u.name is null))"
+#: Who has registered for what: most consumers of most datasets.
+REGISTERED = "(consumer + ascii(right(dataset, 1))) % 4 <> 0"
 
 
 def _usage(spark, d):
     used = table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct().join(table(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return used.select(F.col("l_suppkey").alias("consumer"), F.col("p_brand").alias("dataset"), F.when(F.col("l_suppkey") % 11 == 0, "*").otherwise(F.concat(F.lit("p"), F.lpad(F.col("p_partkey").cast("string"), 6, "0"))).alias("name")).distinct()
+    return used.select(F.col("l_suppkey").alias("consumer"), F.col("p_brand").alias("dataset"), F.when(F.col("l_suppkey") % 11 == 0, "*").when(F.col("l_suppkey") % 13 != 5, F.concat(F.lit("p"), F.lpad(F.col("p_partkey").cast("string"), 6, "0"))).alias("name")).distinct()
 
 
 @query(f"select * from {HITS}")
@@ -329,11 +331,18 @@ def impact_affected(spark, d):
     return gov.affected(_usage(spark, d), _diff(spark, d))
 
 
-@query(f"select consumer, field, dataset from {HITS} where consumer % 3 <> 0 and not (consumer % 3 = 1 and right(field, 1) in ('0', '2', '4'))")
+@query(f"select consumer, field, dataset from {HITS} where {REGISTERED} and consumer % 3 <> 0 and not (consumer % 3 = 1 and right(field, 1) in ('0', '2', '4'))")
 def impact_blocking(spark, d):
-    hits = gov.affected(_usage(spark, d), _diff(spark, d))
+    usage = _usage(spark, d)
+    hits = written(gov.affected(usage, _diff(spark, d)))
     acks = hits.where("consumer % 3 = 1 and right(field, 1) in ('0', '2', '4')").select("consumer", "field").union(table(spark, d, "supplier").where("s_suppkey % 3 = 0").select("s_suppkey", F.lit("*")))
-    return gov.blocking(hits, acks)
+    return gov.blocking(hits, acks, registered=usage.where(REGISTERED))
+
+
+@query(f"select consumer, dataset, field from {HITS} where not ({REGISTERED})")
+def impact_unregistered(spark, d):
+    usage = _usage(spark, d)
+    return gov.unregistered(gov.affected(usage, _diff(spark, d)), usage.where(REGISTERED))
 
 
 @query(f"select consumer, count(*) as acked from {HITS} where consumer % 3 = 0 group by all")
@@ -350,13 +359,13 @@ def lineage_drift(spark, d):
     return gov.lineage_drift(pairs.where("o_orderkey % 4 <> 0"), pairs.where("o_orderkey % 4 <> 1"))
 
 
-@query(f"""with h as {HITS}, b as (select * from h where consumer % 3 <> 0), d as (select dataset, count(*) filter (change = 'removed') as removed, count(*) filter (change = 'changed') as retyped from {DIFF} group by all)
-select dataset, removed, retyped, coalesce(a, 0) as affected, coalesce(k, 0) as blocking, coalesce(k, 0) = 0 as passed from d left join (select dataset, count(*) as a from h group by all) using (dataset) left join (select dataset, count(*) as k from b group by all) using (dataset) where removed + retyped > 0""")
+@query(f"""with h as {HITS}, b as (select * from h where consumer % 3 <> 0 and {REGISTERED}), w as (select * from h where not ({REGISTERED})), d as (select dataset, count(*) filter (change = 'removed') as removed, count(*) filter (change = 'changed') as retyped from {DIFF} group by all)
+select dataset, removed, retyped, coalesce(a, 0) as affected, coalesce(k, 0) as blocking, coalesce(x, 0) as warned, coalesce(k, 0) = 0 as passed from d left join (select dataset, count(*) as a from h group by all) using (dataset) left join (select dataset, count(*) as k from b group by all) using (dataset) left join (select dataset, count(*) as x from w group by all) using (dataset) where removed + retyped > 0""")
 def impact_verdict(spark, d):
-    diff = _diff(spark, d)
-    hits = gov.affected(_usage(spark, d), diff)
+    diff, usage = written(_diff(spark, d)), _usage(spark, d)
+    hits, registered = written(gov.affected(usage, diff)), usage.where(REGISTERED)
     acks = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("consumer"), F.lit("*").alias("field"), F.lit("7").alias("change"))
-    return gov.impact_verdict(diff, hits, gov.blocking(hits, acks, "7"))
+    return gov.impact_verdict(diff, hits, gov.blocking(hits, acks, "7", registered), gov.unregistered(hits, registered))
 
 
 @query("""with f as (select distinct o_custkey as consumer, o_orderpriority as dataset from orders where o_orderkey % 4 <> 0), g as (select distinct o_custkey as consumer, o_orderpriority as dataset, o_custkey % 50 as repo from orders where o_orderkey % 4 <> 1)
@@ -606,14 +615,14 @@ def bad_row_injection(spark, d):
     return q.offending(mixed, rules).select("o_orderkey", F.concat_ws(";", "expectation").alias("labels"))
 
 
-@query("""with names as (select distinct p_type as name from part where p_size > 10), c as (select distinct p_type as name from part where p_size between 2 and 40), f as (select distinct p_type as name from part where p_size < 30 and p_partkey % 3 <> 0)
+@query("""with names as (select distinct 'f' || p_partkey as name from part where p_size > 10 and p_partkey % 7 = 0), c as (select distinct 'f' || p_partkey as name from part where p_size between 2 and 40), f as (select distinct 'f' || p_partkey as name from part where p_size < 30 and p_partkey % 3 <> 0)
 select 'error' as level, 'suite column not in contract' as finding, name from names where name not in (select name from c) union all select 'error', 'fixture column not in contract', name from f where name not in (select name from c)
 union all select 'warning', 'fixture is stale', name from c where name not in (select name from f)""")
 def fixture_sets(spark, d):
     from ..operators.fixtures import set_findings
 
-    part = table(spark, d, "part").withColumn("name", F.col("p_type"))
-    return set_findings(part.where("p_size > 10"), part.where("p_size between 2 and 40"), part.where("p_size < 30 and p_partkey % 3 <> 0"))
+    part = table(spark, d, "part").withColumn("name", F.concat(F.lit("f"), F.col("p_partkey").cast("string")))
+    return set_findings(part.where("p_size > 10 and p_partkey % 7 = 0"), part.where("p_size between 2 and 40"), part.where("p_size < 30 and p_partkey % 3 <> 0"))
 
 
 @query("""select 'warning' as level, 'fixture is stale' as finding, 'c_extra' as name, cast(0 as bigint) as n union all select 'error', 'values that aren''t tokens', 'c_name', count(*) from customer
