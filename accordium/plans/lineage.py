@@ -1,4 +1,4 @@
-"""Which columns of which datasets Python and SQL sources use: files are rows, scanned in parallel, and facts are joined.
+"""Which columns of which datasets Python sources use, and their SQL texts: files are rows, scanned in parallel, and facts are joined.
 
 A file's uses belong to the datasets that the file names by subject, topic or path. Which calls take column names is read from
 PySpark's own signatures.
@@ -102,6 +102,8 @@ class _Visitor(ast.NodeVisitor):
             for a, kind in zip(node.args, ("field", "defined"), strict=False):
                 if _text(a):
                     self.add(a.lineno, kind, _text(a))
+        elif name == "sql" and first is not None:  # its columns are those of the tables it names: scopes.sql_uses()
+            self.add(node.args[0].lineno, "sql", first)
         elif name in EXPRESSIONS:
             for a in node.args:
                 if _text(a) is not None:
@@ -134,14 +136,11 @@ class _Visitor(ast.NodeVisitor):
 
 
 def facts_of(path: str, source: str) -> list[tuple[int, str, str]]:
-    """(line, kind, name): field, defined, wildcard, dynamic, from_avro, literal; error for a file that can't be parsed."""
+    """(line, kind, name): field, defined, wildcard, dynamic, from_avro, literal, sql (a whole text, for scopes.sql_uses()); error for
+    a file that can't be parsed."""
     if path.endswith(".sql"):
-        out = []
-        for i, line in enumerate(source.splitlines(), 1):
-            names, defined, all_, quoted = expression_names(line.split("--")[0])
-            for kind, found in (("field", names), ("defined", defined), ("literal", quoted), ("wildcard", ["*"] * all_)):
-                out += [(i, kind, n) for n in found]
-        return out
+        quoted = [(i, "literal", n) for i, line in enumerate(source.splitlines(), 1) for n in expression_names(line.split("--")[0])[3]]
+        return [*quoted, (1, "sql", source)]
     try:
         tree = ast.parse(source)
     except SyntaxError as e:
@@ -169,8 +168,9 @@ def references(facts: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def usage(facts: DataFrame, refs: DataFrame) -> DataFrame:
-    """consumer, dataset, name, qualified, path, line: the columns used by files that name the dataset; name is `*` where a file
-    selects all, null where it can't be told. Names that a file defines itself aren't columns of the dataset."""
+    """consumer, dataset, name, qualified, path, line: the columns used by Python files that name the dataset; name is `*` where a file
+    selects all, null where it can't be told. Names that a file defines itself aren't columns of the dataset. SQL texts count in
+    scopes.sql_usage(), which knows whose columns they are."""
     files = refs.select("consumer", "path", "dataset").distinct()
     defined = facts.where("kind = 'defined'").select("consumer", "path", "name").distinct()
     fields = facts.where("kind = 'field'").join(defined, ["consumer", "path", "name"], "left_anti")
