@@ -6,62 +6,124 @@ import stat
 import pytest
 from pyspark.sql import functions as F
 
-from accordium.operators import fixtures
+from accordium.operators import fixtures, governance
 from accordium.operators import quality as q
 from accordium.sources import files, generators
 
-REGISTRY = "datasets:\n  pay.tx:\n    schema: tx.avsc\n    subject: pay.tx-value\n    owner: pay\n    compatibility: FULL\n    ge_suite: tx.yml\n    delta_path: s3a://lake/tx\n"
-SUITE = "expectation_suite_name: tx\nexpectations:\n  - expectation_type: expect_column_values_to_not_be_null\n    kwargs: {column: id}\n  - expectation_type: expect_column_values_to_be_between\n    kwargs: {column: amount, min_value: 0}\n"
-ENTRY = "consumer: bi\nteam: t\nrepo: repos/bi\nreads: [pay.tx]\nacks: {}\n"
+REGISTRY = """# all datasets
+datasets:
+  shop.sales:
+    {schema: sales.avsc, subject: shop.sales-value, owner: shop, compatibility: FULL, ge_suite: sales.yml, delta_path: s3a://lake/sales/}
+  shop.stock:
+    schema: stock.avsc
+    subject: shop.stock
+    compatibility: NONE
+    delta_path: s3a://lake/sales/
+"""
+SUITE = """expectation_suite_name: sales
+expectations:
+  # every sale has a number
+  - expectation_type: expect_column_values_to_not_be_null
+    kwargs: {column: number}
+  - expectation_type: expect_column_values_to_be_between
+    kwargs: {column: price, min_value: 0}  # cents
+  - expectation_type: expect_column_values_to_be_unique
+    kwargs: {column: number}
+"""
+SCHEMA = {"type": "record", "name": "sale", "fields": [{"name": "number", "type": "string"}, {"name": "price", "type": ["null", "long"], "default": None}]}
+
+
+def text_files(spark, **texts):
+    return spark.createDataFrame([(name.replace("__", "."), t) for name, t in texts.items()], "file string, text string")
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
 
 
 @pytest.fixture()
 def root(tmp_path):
     (tmp_path / "registry.yml").write_text(REGISTRY)
-    (tmp_path / "tx.avsc").write_text(json.dumps({"type": "record", "name": "tx", "fields": [{"name": "id", "type": "string"}, {"name": "amount", "type": ["null", "long"], "default": None}]}))
-    (tmp_path / "tx.yml").write_text(SUITE)
-    (tmp_path / "lineage").mkdir()
-    (tmp_path / "lineage/bi.yml").write_text(ENTRY)
+    (tmp_path / "schemas").mkdir()
+    (tmp_path / "schemas/sales.avsc").write_text(json.dumps(SCHEMA))
+    (tmp_path / "schemas/old.avsc").write_text("{}")
+    (tmp_path / "sales.yml").write_text(SUITE)
     return tmp_path
 
 
-def test_registry_and_edits(spark, root):
-    found = files.registry(root / "registry.yml")
-    assert found["pay.tx"].table == "tx" and files.registry(root / "none.yml") == {}
-    rows = {tuple(r) for r in files.schema_rows(spark, found, root).collect()}
-    assert rows == {("pay.tx", 0, "id", '"string"', False, False), ("pay.tx", 1, "amount", '["null", "long"]', True, True)}
-    assert [r.label for r in files.suite(root / "tx.yml")] == ["column_values_to_not_be_null(id)", "column_values_to_be_between(amount)"]
-    assert files.edit_contract(root, found["pay.tx"], "amount", "minor", with_suite=True) == 1
-    assert [r.target for r in files.suite(root / "tx.yml")] == ["id", "minor"]
-    assert files.edit_contract(root, found["pay.tx"], "minor", with_suite=True) == 1 and len(files.suite(root / "tx.yml")) == 1
+def test_registry(spark, root):
+    entries = files.registry(files.read(spark, root / "registry.yml"))
+    assert {r.dataset: r.owner for r in entries.collect()} == {"shop.sales": "shop", "shop.stock": None}
+    assert found(entries.select(files.table_of("delta_path"))) == [("sales",), ("sales",)]
+    assert files.registry(files.read(spark, root / "none.yml")).count() == 0
+    assert found(files.lint_registry(entries)) == [("shop.sales", "shares its delta_path"), ("shop.stock", "lacks ge_suite"), ("shop.stock", "lacks owner"), ("shop.stock", "mode isn't allowed"), ("shop.stock", "shares its delta_path"), ("shop.stock", "subject isn't a topic's key or value")]
+    schemas = files.read(spark, root / "schemas", "*.avsc")
+    assert found(files.schema_rows(entries, schemas)) == [("shop.sales", 0, "number", "string", False, False), ("shop.sales", 1, "price", '["null","long"]', True, True)]
+
+
+def test_lint_of_schemas(spark):
+    texts = {"good": json.dumps(SCHEMA), "cut": "{", "list": "[1]", "plain": '{"type": "string"}', "bare": '{"type": "record", "name": "r", "fields": []}', "twice": json.dumps(SCHEMA | {"fields": SCHEMA["fields"][:1] * 2}), "alone": "{}"}
+    entries = spark.createDataFrame([(n, n) for n in [*texts, "gone"] if n != "alone"] + [("none", None)], "dataset string, schema string")
+    got = {r.schema: r.finding for r in files.lint_schemas(entries, text_files(spark, **texts)).collect()}
+    assert got == {"cut": "schema isn't JSON", "list": "schema isn't a named record", "plain": "schema isn't a named record", "bare": "schema has no fields", "twice": "schema has a name twice", "gone": "schema file is missing", "alone": "no dataset has this schema"}
+
+
+def test_catalog(spark):
+    text = "subject_key: person\ncolumns:\n  staff.name: {class: DIRECT_IDENTIFIER, treatment: TOKENIZE_HMAC}\n  staff.home.street:\n  loose: {class: NOT_PII, reason: x}\ndetection:\n  name_patterns: ['(^|_)name$', phone]\n"
+    entries, patterns = files.catalog(text_files(spark, catalog__yml=text, empty__yml=""))
+    key = lambda r: (r[0], r[1] or "")
+    assert sorted((tuple(r) for r in entries.collect()), key=key) == [("loose", None, "NOT_PII", "NONE", "SUBJECT", "x", "person"), ("staff", "home.street", None, "NONE", "SUBJECT", None, "person"), ("staff", "name", "DIRECT_IDENTIFIER", "TOKENIZE_HMAC", "SUBJECT", None, "person")]
+    assert found(patterns) == [(0, "(^|_)name$"), (1, "phone")]
+    names = spark.createDataFrame([("t", "first_Name"), ("t", "x")], "table string, name string")
+    assert found(governance.suspicious(names, patterns)) == [("t", "first_Name", "(^|_)name$")]
+
+
+def test_lineage_files(spark):
+    texts = text_files(
+        spark, bi__yml="consumer: bi\nteam: insight\nrepo: repos/bi\nreads: [shop.sales, shop.stock]\nacks:\n  7: [{fields: [price, ' '], by: insight}]\n  '8': {fields: [number]}\n",
+        word__yml="consumer: word\nteam: t\nrepo: r\nreads: shop.sales\n", other__yml="consumer: else\nteam: t\nrepo: r\nreads: [a]\nacks: {soon: [{fields: [a]}], 9: [{by: x}], 10: }\n", cut__yml="consumer: [", none__yml="",
+    )
+    assert found(files.reads(texts).where("consumer = 'bi'")) == [("bi", "insight", "repos/bi", "shop.sales"), ("bi", "insight", "repos/bi", "shop.stock")]
+    assert found(files.acks(texts).where("consumer = 'bi' and field <> ' '")) == [("bi", "7", "price"), ("bi", "8", "number")]
+    assert found(files.lint_lineage(texts)) == [("cut.yml", "isn't YAML"), ("none.yml", "doesn't say its consumer"), ("none.yml", "doesn't say its repo"), ("none.yml", "doesn't say its team"), ("none.yml", "lists no datasets that it reads"), ("other.yml", "acks no fields"), ("other.yml", "acks something that isn't a change's number"), ("other.yml", "is named after another consumer"), ("word.yml", "lists no datasets that it reads")]
+
+
+@pytest.mark.parametrize("end", ["", "acks: {}\n", "acks:\n", "acks: {'5': [{fields: [a]}]}\n# end\n", "acks:\n  '5':\n    - {fields: [a]}  # why\n# end\n", "acks:\n  '11':\n    - fields: [a]\n      by: x\n\nlast: 1\n", "acks:\n  '11': {fields: [a]}\nlast: 1\n"])
+def test_acks_keep_what_is_there(spark, tmp_path, end):
+    before = "# who reads what\nconsumer: bi  # us\nteam: insight\nrepo: repos/bi\nreads:\n  - shop.sales\n" + end
+    (tmp_path / "bi.yml").write_text(before)
+    files.acknowledge(tmp_path, "bi", 11, ["price", " number ", ""], 'a "quoted" reason: ja')
+    files.acknowledge(tmp_path, "bi", 12, ["*"], "all", "me")
+    after = (tmp_path / "bi.yml").read_text()
+    assert [c for c in ("# who reads what", "# us", "# why", "# end") if c in before and c not in after] == []
+    texts = files.read(spark, tmp_path, "*.yml")
+    old = {("bi", "5", "a")} if "'5'" in end else {("bi", "11", "a")} if "'11'" in end else set()
+    assert {tuple(r) for r in files.acks(texts).collect()} == {("bi", "11", "price"), ("bi", "11", "number"), ("bi", "12", "*")} | old
+    assert files.lint_lineage(texts).count() == 0 and files.reads(texts).count() == 1
     with pytest.raises(files.BadFile):
-        files.edit_contract(root, found["pay.tx"], "gone")
-    (root / "registry.yml").write_text(REGISTRY.replace("    owner: pay\n", ""))
-    with pytest.raises(files.BadFile, match="owner"):
-        files.registry(root / "registry.yml")
+        files.acknowledge(tmp_path, "nobody", 1, ["a"], "")
 
 
-@pytest.mark.parametrize(("old", "new", "message"), [("team:", "teem:", "missing 'team'"), ("consumer: bi", "consumer: b", "match the file name"), ("acks: {}", "acks:\n  next: [{fields: [a]}]", "PR number"), ("acks: {}", "acks:\n  '11': [{by: x}]", "non-empty 'fields'")])
-def test_bad_lineage(spark, root, old, new, message):
-    p = root / "lineage/bi.yml"
-    p.write_text(p.read_text().replace(old, new))
-    with pytest.raises(files.BadFile, match=message):
-        files.lineage(spark, root / "lineage")
+def test_edits_of_contracts(root):
+    assert files.edit_contract(root, "schemas/sales.avsc", "price", "cents", "sales.yml") == 1
+    assert [r.target for r in files.suite(root / "sales.yml")] == ["number", "cents", "number"]
+    text = (root / "sales.yml").read_text()
+    assert "# every sale has a number" in text and "# cents" in text
+    assert files.edit_contract(root, "schemas/sales.avsc", "number", None, "sales.yml") == 2
+    assert [r.target for r in files.suite(root / "sales.yml")] == ["cents"] and files.edit_contract(root, "schemas/sales.avsc", "cents") == 0
+    with pytest.raises(files.BadFile):
+        files.edit_contract(root, "schemas/sales.avsc", "gone")
+    with pytest.raises(files.BadFile):
+        files.suite(root / "none.yml")
 
 
-def test_acks_owners_sources(spark, root):
-    files.acknowledge(root / "lineage", "bi", 11, ["amount", " id "], "fine")
-    reads, acks = files.lineage(spark, root / "lineage")
-    assert [tuple(r) for r in reads.collect()] == [("bi", "t", "repos/bi", "pay.tx")] and {tuple(r) for r in acks.collect()} == {("bi", "11", "amount"), ("bi", "11", "id")}
-    with pytest.raises(files.BadFile):
-        files.acknowledge(root / "lineage", "nobody", 1, ["a"], "")
-    assert files.owned(root / "CODEOWNERS") is None
-    (root / "CODEOWNERS").write_text("# all\n/lineage/bi.yml @t\n\n")
-    assert files.owned(root / "CODEOWNERS") == {"lineage/bi.yml"}
-    for name in ("bi/jobs/a.py", "ml/q.sql", "ml/notes.txt"):
+def test_owners_and_sources(spark, root):
+    rules = text_files(spark, CODEOWNERS="# all\n/lineage/bi.yml  @insight\r\n\n  *.sql @shop\n")
+    assert found(files.owned(rules)) == [("*.sql",), ("lineage/bi.yml",)] and files.owned(rules.limit(0)).count() == 0
+    for name in ("bi/jobs/a.py", "ml/q.sql", "ml/notes.txt", "top.py"):
         (root / "consumers" / name).parent.mkdir(parents=True, exist_ok=True)
-        (root / "consumers" / name).write_text("x = 1\n")
-    assert {(r.consumer, r.path, r.source.strip()) for r in files.sources(spark, str(root / "consumers")).collect()} == {("bi", "jobs/a.py", "x = 1"), ("ml", "q.sql", "x = 1")}
+        (root / "consumers" / name).write_text("x = 1\ny = 2\n")
+    assert found(files.sources(spark, str(root / "consumers"))) == [("bi", "jobs/a.py", "x = 1\ny = 2\n"), ("ml", "q.sql", "x = 1\ny = 2\n")]
     changed = spark.createDataFrame([("contracts/a.yml",), ("README",)], "path string")
     assert files.relevant(changed, "^contracts/") and not files.relevant(changed, "^infra/")
 
@@ -70,20 +132,17 @@ def test_keys(root, monkeypatch):
     for v in files.KEYS.values():
         monkeypatch.delenv(v, raising=False)
     p = root / "conf/keys.yml"
-    with pytest.raises(files.BadKey, match="missing"):
+    with pytest.raises(files.BadKey) as e:
         files.keys(p)
+    assert [n for n in files.KEYS if n in str(e.value)] == [n for n in files.KEYS if n not in files.OPTIONAL]
     assert files.init_keys(p) == list(files.KEYS) and files.init_keys(p) == []
     assert stat.S_IMODE(p.stat().st_mode) == 0o600 and {len(v) for v in files.keys(p).values()} == {32}
-    monkeypatch.setenv("GOV_KEK", "zz")
-    with pytest.raises(files.BadKey, match="hex"):
-        files.keys(p)
-    monkeypatch.setenv("GOV_KEK", "ab")
-    with pytest.raises(files.BadKey, match="bytes"):
-        files.keys(p)
-    monkeypatch.delenv("GOV_KEK")
-    monkeypatch.setenv("GOV_TOKEN_KEY", files.keys(p)["kek"].hex())
-    with pytest.raises(files.BadKey, match="different"):
-        files.keys(p)
+    good = files.keys(p)
+    for text, part in (("zz", "hexadecimal"), ("ab", "has 1 bytes"), (good["token_key"].hex().upper(), "something else")):
+        monkeypatch.setenv("GOV_KEK", text)
+        with pytest.raises(files.BadKey, match=part) as e:
+            files.keys(p)
+        assert good["token_key"].hex() not in str(e.value).lower()
 
 
 def test_generators(spark):
