@@ -86,3 +86,27 @@ def quarantine_exactly_once(spark, d):
         qs.quarantine_once(spark.readStream.schema(e.schema).parquet(f"{root}/in"), rules, f"{root}/out", f"{root}/state", {"dataset": "events", "suite": "events"})
     rows = qs.kept(spark, f"{root}/out", qs.rows_schema(e.schema)).select(F.lit("row").alias("what"), F.col("batch").cast("int").alias("batch"), F.col("event_id").cast("string").alias("name"), F.concat_ws(";", "expectation").alias("labels"), F.lit(1).cast("long").alias("n"))
     return rows.unionByName(qs.results(spark, f"{root}/out").select(F.lit("rule").alias("what"), F.col("batch").cast("int").alias("batch"), F.col("expectation").alias("name"), F.col("success").cast("string").alias("labels"), F.col("unexpected_count").alias("n")))
+
+
+@query("""with f as (select sha256(o_orderkey || '|' || o_orderstatus) as f, row_number() over (order by o_orderkey, sha256(o_orderkey || '|' || o_orderstatus)) - 1 as i from orders), r as (select i // 1024 as i, sha256(string_agg(f, '' order by i)) as f from f group by i // 1024)
+select (select count(*) from f) as n_rows, case when count(*) = 1 then max(f) else sha256(string_agg(f, '' order by i)) end as hash from r""")
+def ordered_content_hash(spark, d):
+    from ..operators.sampling import ordered_hash
+
+    return ordered_hash(table(spark, d, "orders"), ["o_orderkey"], F.sha2(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus"), 256))
+
+
+LINT_SQL = """(select 'd' || s_suppkey as dataset, case when s_suppkey % 11 > 0 then 'a' || s_suppkey % 40 || case when s_suppkey % 7 = 0 then '-v' else '-value' end end as subject, 'f' || s_suppkey as schema, case when s_acctbal > 0 then s_name end as owner, case when s_nationkey = 3 then 'NONE' else 'FULL' end as mode, case when s_nationkey % 2 = 0 then 's3a://l/' else 's3://l/' end || s_suppkey % 60 as path from supplier)"""
+
+
+@query(f"""with e as {LINT_SQL} select dataset, 'lacks owner' as finding from e where owner is null union all select dataset, 'lacks subject' from e where subject is null union all select dataset, 'mode isn''t allowed' from e where mode = 'NONE'
+union all select dataset, 'subject isn''t a topic''s key or value' from e where subject like '%-v' union all select dataset, 'path isn''t in object storage' from e where path not like 's3a://%'
+union all select dataset, 'shares its subject' from e where subject in (select subject from e group by subject having count(*) > 1) union all select dataset, 'shares its delta_path' from e where path in (select path from e group by path having count(*) > 1)""")
+def registry_lint(spark, d):
+    from ..sources.files import lint_registry
+
+    key, of = F.col("s_suppkey"), lambda n: (F.col("s_suppkey") % n).cast("string")
+    subject = F.when(key % 11 > 0, F.concat(F.lit("a"), of(40), F.when(key % 7 == 0, "-v").otherwise("-value")))
+    path = F.concat(F.when(F.col("s_nationkey") % 2 == 0, "s3a://l/").otherwise("s3://l/"), of(60))
+    entries = table(spark, d, "supplier").select(F.concat(F.lit("d"), key.cast("string")).alias("dataset"), F.concat(F.lit("f"), key.cast("string")).alias("schema"), subject.alias("subject"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("owner"), F.when(F.col("s_nationkey") == 3, "NONE").otherwise("FULL").alias("compatibility"), F.lit("s.yml").alias("ge_suite"), path.alias("delta_path"))
+    return lint_registry(entries)

@@ -5,6 +5,9 @@ Every value is a function of the seed, the row's number and the column, so that
 
 from __future__ import annotations
 
+import functools
+import math
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +41,57 @@ def chosen(seed: int, name: str, weights: dict[str, int]) -> Column:
     return out
 
 
+def quotas(weights: dict[str, int], n: int) -> dict[str, int]:
+    """n rows dealt by weights: each share rounded down, what is left to the largest remainders, first names first."""
+    total = sum(weights.values())
+    out = {k: n * w // total for k, w in weights.items()}
+    for k in sorted(weights, key=lambda k: -(n * weights[k] % total))[: n - sum(out.values())]:
+        out[k] += 1
+    return out
+
+
+def permuted(seed: int, name: str, n: int) -> Column:
+    """A permutation of row numbers (`id`) from 0 to n - 1, by seed and name: a row's place is known without any other row.
+
+    Affine steps, which reach every place, take turns with rounds of a Feistel network over pairs, which mix; each is a one-to-one
+    map of all places, so the whole is.
+    """
+    wide = max(1, math.isqrt(n))
+    high = n // wide  # pairs cover wide * high places; the last few only take the affine steps
+    draw = random.Random(f"{seed}/{name}")
+
+    def affine(x: Column) -> Column:
+        a = draw.randrange(1, min(max(2, n), 1 << 31))
+        while math.gcd(a, n) > 1:
+            a += 1
+        return F.pmod(x * F.lit(a).cast("long") + F.lit(draw.randrange(max(1, n))).cast("long"), F.lit(n).cast("long"))
+
+    def mixed(x: Column, k: int) -> Column:
+        left, right = F.floor(x / F.lit(wide)).cast("long"), F.pmod(x, F.lit(wide).cast("long"))
+        left = F.pmod(left + F.pmod(F.xxhash64(F.lit(seed), F.lit(f"{name}.l{k}"), right), F.lit(high).cast("long")), F.lit(high).cast("long"))
+        right = F.pmod(right + F.pmod(F.xxhash64(F.lit(seed), F.lit(f"{name}.r{k}"), left), F.lit(wide).cast("long")), F.lit(wide).cast("long"))
+        return F.when(x < wide * high, left * wide + right).otherwise(x)
+
+    if n >= 1 << 31:
+        raise ValueError("row numbers beyond 31 bits aren't permuted")
+    return affine(F.transform(F.array(affine(F.transform(F.array(affine(F.col("id"))), lambda x: mixed(x, 0))[0])), lambda x: mixed(x, 1))[0])
+
+
+def dealt(seed: int, name: str, weights: dict[str, int], n: int) -> Column:
+    """One of the names for each of n rows, so that each has exactly its quota."""
+    run, steps = 0, []
+    for k, c in quotas(weights, n).items():
+        run += c
+        steps.append((k, run))
+    pick = lambda x: functools.reduce(lambda out, s: F.when(x < s[1], s[0]).otherwise(out), reversed(steps), F.lit(None).cast("string"))
+    return F.transform(F.array(permuted(seed, name, n)), pick)[0]
+
+
+def beta_2_8(seed: int, name: str) -> Column:
+    """A draw of the beta distribution with 2 and 8: the second least of nine uniform draws."""
+    return F.array_sort(F.array(*(uniform(seed, f"{name}.{i}") for i in range(9))))[1]
+
+
 def normal(seed: int, name: str) -> Column:
     """Box and Muller's transform of two draws."""
     return F.sqrt(-2 * F.log(F.greatest(uniform(seed, name + ".r"), F.lit(1e-12)))) * F.cos(2 * F.pi() * uniform(seed, name + ".a"))
@@ -62,21 +116,22 @@ def customers(spark: SparkSession, n: int, seed: int) -> DataFrame:
     return rows.select(
         F.format_string("CUST-%06d", number).alias("customer_id"), F.concat(name, F.lit("@example.com")).alias("email"),
         F.format_string("%03d-%02d-%04d", between(seed, "ssn1", 100, 900), between(seed, "ssn2", 10, 100), between(seed, "ssn3", 1000, 10_000)).alias("ssn"),
-        F.initcap(name).alias("full_name"), chosen(seed, "country", COUNTRIES).alias("country"), created.alias("created_at"), kept(seed, "updated", 0.4, created + between(seed, "updated", 0, 30 * DAY)).alias("updated_at"),
+        F.initcap(name).alias("full_name"), dealt(seed, "country", COUNTRIES, n).alias("country"), created.alias("created_at"), kept(seed, "updated", 0.4, created + between(seed, "updated", 0, 30 * DAY)).alias("updated_at"),
     )
 
 
 def transactions(spark: SparkSession, n: int, people: int, seed: int) -> DataFrame:
     created, who = F.lit(START) + between(seed, "created", 0, 90 * DAY), between(seed, "customer", 1, people + 1)
-    currency = chosen(seed, "currency", CURRENCIES)
-    amount = F.least(F.round(F.when(currency == "JPY", 5000.0).otherwise(4000.0) * F.exp(normal(seed, "amount"))).cast("long"), F.lit(50_000_000))
-    risk = F.pow(uniform(seed, "risk"), 3)  # most are low
+    rows = spark.range(n).select("id", dealt(seed, "currency", CURRENCIES, n).alias("currency"), chosen(seed, "event", EVENTS).alias("event_type"))
+    drawn = F.least(F.round(F.when(F.col("currency") == "JPY", 5000.0).otherwise(4000.0) * F.exp(normal(seed, "amount"))).cast("long"), F.lit(50_000_000))
+    amount = F.when(uniform(seed, "verified") < 0.005, F.lit(0).cast("long")).otherwise(drawn)  # a card is only verified
+    status = F.when(uniform(seed, "pending") < 0.03, "PENDING").otherwise(F.col("event_type"))
     hexes = F.sha2(F.concat_ws("|", F.lit(seed), "id"), 256)
     uuid4 = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.concat(F.lit("4"), F.substring(hexes, 14, 3)), F.concat(F.lit("8"), F.substring(hexes, 18, 3)), F.substring(hexes, 21, 12))
-    return spark.range(n).select(
-        uuid4.alias("transaction_id"), F.format_string("M-%05d", between(seed, "merchant", 1, 301)).alias("merchant_id"), F.format_string("CUST-%06d", who).alias("customer_id"), amount.alias("amount_minor"), currency.alias("currency"),
-        chosen(seed, "event", EVENTS).alias("event_type"), (created + between(seed, "event_ts", 0, 5000)).alias("event_ts"), created.alias("created_at"), kept(seed, "updated", 0.5, created + between(seed, "updated", 0, 3 * DAY)).alias("updated_at"),
-        kept(seed, "risk", 0.7, risk).alias("risk_score"), kept(seed, "receipt", 0.6, F.format_string("user%d@example.com", who)).alias("receipt_email"),
+    return rows.select(
+        uuid4.alias("transaction_id"), F.format_string("M-%05d", between(seed, "merchant", 1, 301)).alias("merchant_id"), F.format_string("CUST-%06d", who).alias("customer_id"), amount.alias("amount_minor"), "currency",
+        status.alias("status"), "event_type", (created + between(seed, "event_ts", 0, 5000)).alias("event_ts"), created.alias("created_at"), kept(seed, "updated", 0.5, created + between(seed, "updated", 0, 3 * DAY)).alias("updated_at"),
+        kept(seed, "risk", 0.7, beta_2_8(seed, "risk")).alias("risk_score"), kept(seed, "receipt", 0.6, F.format_string("user%d@example.com", who)).alias("receipt_email"),
     )
 
 

@@ -64,3 +64,21 @@ def test_latencies_of_whole_numbers(spark):
     df = spark.range(1, 1_001).select((F.col("id") % 2).alias("type"), "id")
     got = {r.type: (r.runs, r.p50, r.p25, r.p90) for r in governance.latencies(df, "type", "id", (0.25, 0.9)).collect()}
     assert got == {0: (500, 501.0, 250, 900), 1: (500, 500.0, 249, 899)}
+
+
+def test_hash_by_order(spark):
+    """The same for any partitioning, another where two rows change places."""
+    rows = [(i, f"v{i}") for i in range(500)] + [(None, "n"), (7, "again"), (7, "again")]
+    df = spark.createDataFrame(rows, "k long, f string")
+
+    def digest(df, run=8):
+        return tuple(sampling.ordered_hash(df, ["k"], F.col("f"), run).first())
+
+    level = [f for _, _, f in sorted((k is not None, k or 0, f) for k, f in rows)]
+    while len(level) > 1:
+        level = [hashlib.sha256("".join(level[i : i + 8]).encode()).hexdigest() for i in range(0, len(level), 8)]
+    assert digest(df) == digest(df.repartition(7)) == digest(df.orderBy(F.desc("k")).coalesce(1)) == (503, level[0])
+    swapped = df.withColumn("f", F.when(F.col("k") == 100, "v101").when(F.col("k") == 101, "v100").otherwise(F.col("f")))
+    assert digest(swapped)[1] != level[0] and digest(df, 1024)[1] != level[0]
+    assert digest(df.limit(0)) == (0, hashlib.sha256(b"").hexdigest()) and digest(df.where("k = 3")) == (1, hashlib.sha256(b"v3").hexdigest())
+    assert digest(df.withColumn("f", F.lit(None).cast("string")).where("k = 3"))[1] == hashlib.sha256(b"").hexdigest()
