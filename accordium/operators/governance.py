@@ -3,6 +3,10 @@ drift reverts, metrics and alerts. Every one is a join or an aggregate of DataFr
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,11 +16,100 @@ from .ranks import order_statistics
 CLASS_RANK = {"NOT_PII": 0, "QUASI_IDENTIFIER": 1, "DIRECT_IDENTIFIER": 2}
 TREATMENT_RANK = {"NONE": 0, "TOKENIZE_HMAC": 1, "ENCRYPT_AESGCM": 1}
 
+#: Patterns that are held by every task.
+MOST_PATTERNS = 100_000
+
+
+def required_text(pattern: str) -> str:
+    """The longest piece of text, in lower case, that whatever matches a regular expression must hold; empty where none can be told.
+
+    Only what stands outside of groups and classes counts, without letters that a quantifier may drop; an alternative at the top, a
+    mode that changes how the expression is read, or quoting give none.
+    """
+    if re.search(r"\(\?[a-zA-Z]*[xu-]|\\Q", pattern):
+        return ""
+    runs, run, i, depth = [], "", 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            following = pattern[i + 1 : i + 2]
+            i += 1
+            if depth == 0:
+                run, done = (run + following, None) if following and not following.isalnum() else ("", run)
+                runs += [done] if done else []
+        elif c == "[":
+            end = i + 1 + (pattern[i + 1 : i + 2] == "^")
+            end += pattern[end : end + 1] == "]"
+            level = 1
+            while end < len(pattern) and level:
+                level += {"[": 1, "]": -1}.get(pattern[end], 0)
+                end += 1 + (pattern[end] == "\\")
+            i = end - 1
+            runs, run = [*runs, run], ""
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+            runs, run = [*runs, run], ""
+        elif depth:
+            pass
+        elif c == "|":
+            return ""
+        elif c in "?*{":
+            runs, run = [*runs, run[:-1]], ""
+            i = pattern.find("}", i) if c == "{" and "}" in pattern[i:] else i
+        elif c in "+.^$":
+            runs, run = [*runs, run], ""
+        else:
+            run += c
+        i += 1
+    best = max([*runs, run], key=len)
+    return best.translate(_LOWER) if best.isascii() else ""
+
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def _candidates(texts: list[tuple[int, str]]):
+    """(name) to (name, at): places of the patterns whose required text occurs in a name, found by one automaton for all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton, always = ahocorasick.Automaton(), [i for i, t in texts if not t]
+        held: dict[str, list[int]] = {}
+        for i, t in texts:
+            if t:
+                held.setdefault(t, []).append(i)
+        for t, places in held.items():
+            automaton.add_word(t, places)
+        if held:
+            automaton.make_automaton()
+        for batch in batches:
+            found = []
+            for name in batch.column(0).to_pylist():
+                hit = set(always)
+                for _, places in automaton.iter(name.translate(_LOWER)) if held else ():
+                    hit.update(places)
+                found.append(sorted(hit))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["name", "at"])
+
+    return run
+
 
 def suspicious(fields: DataFrame, patterns: DataFrame) -> DataFrame:
-    """fields(table, name) and the first pattern (ord, pattern) found in the name, case not minded. Patterns are a rule file."""
-    hit = fields.join(F.broadcast(patterns), F.expr("rlike(name, concat('(?i)', pattern))"))
-    return hit.groupBy("table", "name").agg(F.min_by("pattern", "ord").alias("pattern"))
+    """fields(table, name) and the first pattern (ord, pattern) found in the name, case of A-Z not minded.
+
+    Distinct names go once through an automaton of the texts that the patterns require; only the patterns that it leaves are tried as
+    regular expressions. Patterns are a rule file: up to MOST_PATTERNS, an error beyond. Null names and patterns match nothing.
+    """
+    rules = [(r.ord, r.pattern) for r in patterns.where("pattern is not null").select("ord", "pattern").orderBy("ord", "pattern").limit(MOST_PATTERNS + 1).collect()]
+    if len(rules) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns")
+    spark = fields.sparkSession
+    places = F.broadcast(spark.createDataFrame([(i, p) for i, (_, p) in enumerate(rules)], "at int, pattern string"))
+    names = fields.select(F.col("name").cast("string").alias("name")).where("name is not null").distinct()
+    tried = names.mapInArrow(_candidates([(i, required_text(p)) for i, (_, p) in enumerate(rules)]), "name string, at array<int>").select("name", F.explode("at").alias("at"))
+    hit = tried.join(places, "at").where(F.expr("rlike(name, concat('(?i)', pattern))")).groupBy("name").agg(F.min_by("pattern", "at").alias("pattern"))
+    return fields.select("table", "name").distinct().join(hit, "name").select("table", "name", "pattern")
 
 
 def unclassified(fields: DataFrame, patterns: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normal_path
+from ..session import written
 
 #: Classes, treatments and key scopes of a catalog.
 PROTECTED = ["DIRECT_IDENTIFIER", "QUASI_IDENTIFIER"]
@@ -97,14 +98,16 @@ def leaf_diff(pairs: DataFrame) -> DataFrame:
     """id, path, before, after for each leaf that differs in pairs(id, before, after) of JSON texts.
 
     Objects on both sides are opened level by level, also where they are texts within JSON; lists are leaves, and leaves are
-    compared as text, so 1 and "1" are equal. A key that one side lacks is null there. As many rounds as the JSON is deep.
+    compared as text, so 1 and "1" are equal. A key that one side lacks is null there. As many rounds as the JSON is deep; what a
+    round leaves to open is written, so that no round does former ones again.
     """
     opened = lambda c: F.when(F.ltrim(c).startswith("{"), F.try_parse_json(c))
     level, out = pairs.select("id", F.lit("").alias("path"), "before", "after"), None
     while True:
         level = level.where("not (before <=> after)")
         objects = opened(F.col("before")).isNotNull() & opened(F.col("after")).isNotNull()
-        leaves, level = level.where(~objects), level.where(objects)
+        level = written(level.withColumn("open", objects))
+        leaves, level = level.where("not open").drop("open"), level.where("open")
         out = leaves if out is None else out.union(leaves)
         if level.isEmpty():
             return out

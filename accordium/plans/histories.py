@@ -110,3 +110,15 @@ def registry_lint(spark, d):
     path = F.concat(F.when(F.col("s_nationkey") % 2 == 0, "s3a://l/").otherwise("s3://l/"), of(60))
     entries = table(spark, d, "supplier").select(F.concat(F.lit("d"), key.cast("string")).alias("dataset"), F.concat(F.lit("f"), key.cast("string")).alias("schema"), subject.alias("subject"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("owner"), F.when(F.col("s_nationkey") == 3, "NONE").otherwise("FULL").alias("compatibility"), F.lit("s.yml").alias("ge_suite"), path.alias("delta_path"))
     return lint_registry(entries)
+
+
+@query(r"""with w as (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as name from documents), p as (select distinct p_partkey % 26 as ord, chr(cast(97 + p_partkey % 26 as integer)) || 'e[rns]?t+$' as pattern from part union select 100, '^(q|x)' union select 101, 'zz?a')
+select 'documents' as "table", name, min_by(pattern, ord) as pattern from w, p where regexp_matches(name, pattern) group by name""")
+def pii_words(spark, d):
+    """Words of documents against many patterns, two of which require no text outside of a group or quantifier."""
+    from ..operators.governance import suspicious
+
+    words = table(spark, d, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)")))).alias("name")).distinct()
+    letters = table(spark, d, "part").select((F.col("p_partkey") % 26).cast("int").alias("ord")).distinct()
+    patterns = letters.select("ord", F.concat(F.char(F.col("ord") + 97), F.lit("e[rns]?t+$")).alias("pattern")).unionByName(spark.createDataFrame([(100, "^(q|x)"), (101, "zz?a")], "ord int, pattern string"))
+    return suspicious(words.select(F.lit("documents").alias("table"), "name"), patterns)
