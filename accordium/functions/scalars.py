@@ -77,6 +77,24 @@ def normal_path(value: str | Column) -> Column:
     return F.rtrim(F.regexp_replace(col(value), "^s3[an]?://", "s3://"), F.lit("/"))
 
 
+def bucket_and_key(value: str | Column) -> Column:
+    """A store's path as struct(bucket, key): what stands before and behind the first slash after the scheme; a key may be empty."""
+    rest = F.regexp_replace(normal_path(value), "^[a-z0-9]+://", "")
+    return F.struct(F.substring_index(rest, "/", 1).alias("bucket"), F.regexp_extract(rest, "^[^/]*/(.*)$", 1).alias("key"))
+
+
+def placed_path(value: str | Column, root: str | None = None) -> Column:
+    """Where an object-store path is to be found: below a local root, if one is given, else under its normal form. Others stay."""
+    v = col(value)
+    below = F.concat(F.lit((root or "").rstrip("/") + "/"), F.regexp_replace(normal_path(v), "^s3://", ""))
+    return F.when(v.rlike("^s3[an]?://"), below if root else normal_path(v)).otherwise(v)
+
+
+def table_path(dataset: str | Column, root: str) -> Column:
+    """A dataset's own table below a root: its last label names it."""
+    return F.concat(F.lit(root.rstrip("/") + "/"), F.substring_index(col(dataset), ".", -1))
+
+
 def escaped_label(value: str | Column) -> Column:
     """A label value of the metrics text format."""
     v = F.replace(col(value), F.lit("\\"), F.lit("\\\\"))

@@ -19,6 +19,8 @@ from ..sources.lake import VersionedTable
 
 SCHEMA = "subject_id string, created_ts long, destroyed_ts long, wrapped_dek string"
 ZEROED = "0" * 120
+#: Treatments and key scopes of a catalog.
+TREATMENTS, SCOPES = ("NONE", "TOKENIZE_HMAC", "ENCRYPT_AESGCM"), ("SUBJECT", "PLATFORM")
 #: No statistics of the wrapped key get into file footers.
 NO_STATS = {"parquet.column.statistics.enabled#wrapped_dek": "false", "parquet.enable.dictionary#wrapped_dek": "false"}
 #: Keys are broadcast up to so many; beyond that Spark shuffles both sides.
@@ -113,10 +115,13 @@ class KeyStore:
 def protect(df: DataFrame, catalog: dict[str, dict], subject: str, store: KeyStore, platform_key: bytes, table: str) -> DataFrame:
     """Columns treated as the catalog says; nulls stay null, columns outside it are untouched.
 
-    A row with a subject-scoped value but no subject fails the whole call before anything is written. Columns that start with
-    two underscores are reserved.
+    A row with a subject-scoped value but no subject fails the whole call before anything is written, and so does a treatment or
+    key scope that isn't known, whether the table has the column or not. Columns that start with two underscores are reserved.
     """
-    known = {c: e for c, e in catalog.items() if c in df.columns and e["treatment"] != "NONE"}
+    wrong = [c for c, e in catalog.items() if e.get("treatment", "NONE") not in TREATMENTS or e.get("key_scope", "SUBJECT") not in SCOPES]
+    if wrong:
+        raise ValueError(f"unknown treatment or key scope: {sorted(wrong)}")
+    known = {c: e for c, e in catalog.items() if c in df.columns and e.get("treatment", "NONE") != "NONE"}
     scoped = [c for c, e in known.items() if e.get("key_scope", "SUBJECT") == "SUBJECT"]
     if scoped:
         if subject not in df.columns:

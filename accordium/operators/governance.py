@@ -222,6 +222,21 @@ def leaks(df: DataFrame, guarded: list[str], pattern: str) -> DataFrame:
     return counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("leaked")) for c in guarded))).alias("x")).select("x.column", "x.leaked")
 
 
+def scan_universe(base: DataFrame, head: DataFrame) -> DataFrame:
+    """What a scan of consumers looks for: datasets of either side with all the names they have or had (dataset, name, type), and how
+    they are found (subject, topic, path; of head where both have the dataset). base and head are (dataset, subject, topic, delta_path,
+    names array<string>)."""
+    sides = [d.select("dataset", "subject", "topic", "delta_path", F.coalesce("names", F.array().cast("array<string>")).alias("names"), F.lit(i).alias("side")) for i, d in enumerate((base, head))]
+    both = sides[0].unionByName(sides[1]).where("dataset is not null")
+    last = F.max_by(F.struct("subject", "topic", "delta_path"), "side").alias("f")
+    return both.groupBy("dataset").agg(last, F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names")).select("dataset", "f.*", "names")
+
+
+def drift_changes(attributes: DataFrame) -> DataFrame:
+    """workspace, address, path of attributes (with before and after) that a plan finds changed, each once."""
+    return attributes.where("not (before <=> after)").select("workspace", "address", "path").distinct()
+
+
 def reverts(drifted: DataFrame, planned: DataFrame) -> DataFrame:
     """Attributes (address, path) that drifted and that the plan would set back: after the drift is before the plan."""
     p = planned.select("address", "path", F.col("before").alias("p0"), F.col("after").alias("p1"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.crypto import KeyStore, SubjectErased
+from ..operators.crypto import KeyStore, SubjectErased, decrypt_view
 from ..sources.lake import VersionedTable, VersionUnreadable, backups_holding, tables_below
 
 AUDIT = "request_id string, subject_hash string, tables_touched array<string>, rows_deleted long, rows_deleted_by_table array<long>, pre_delete_versions array<long>, vacuum_versions array<long>, key_destroyed_ts long, verified_lake boolean, verified_crypto boolean, completed_ts long, operator string, rerun_of string, uncatalogued_tables array<string>, backups_covered array<string>, downstream_to_notify array<string>"
@@ -150,4 +150,39 @@ def probes(spark: SparkSession, audit: DataFrame, paths: dict[str, str]) -> Data
     return rows.join(F.broadcast(known), ["table", "version"], "left").select("request_id", "table", "version", "readable")
 
 
-__all__ = ["AUDIT", "Erasure", "Holding", "VersionUnreadable", "backup_sets", "completed", "notification", "probes", "readers_of", "sweep"]
+def verify_record(erasure: Erasure, request_id: str, subject: str) -> DataFrame:
+    """check, place, passed: an audit record held against what is there now, reading only.
+
+    subject: its hash is the record's; where it isn't, nothing else is looked at. rows: a touched table has none of the subject. version:
+    the version before a delete can't be read any more. key: the subject's key is destroyed. An unknown request is an error.
+    """
+    spark = erasure.spark
+    record = erasure.audit.read().where(F.col("request_id") == request_id).orderBy("completed_ts").first()
+    if record is None:
+        raise KeyError(request_id)
+    schema = "check string, place string, passed boolean"
+    if erasure.subject_hash(subject) != record.subject_hash:
+        return spark.createDataFrame([("subject", request_id, False)], schema)
+    paths, rows = {name: path for path, (name, _) in erasure.tables().items()}, [("subject", request_id, True)]
+    for name, version, deleted in zip(record.tables_touched, record.pre_delete_versions, record.rows_deleted_by_table, strict=True):
+        there = name in paths
+        rows.append(("rows", name, there and erasure._rows(paths[name], subject).isEmpty()))
+        if deleted:
+            rows.append(("version", f"{name}@{version}", there and not VersionedTable(spark, paths[name]).readable(version)))
+    try:
+        erasure.store.get(subject)
+        rows.append(("key", subject, False))
+    except SubjectErased:
+        rows.append(("key", subject, True))
+    except KeyError:  # there never was one
+        rows.append(("key", subject, False))
+    return spark.createDataFrame(rows, schema)
+
+
+def view_from_backup(store: KeyStore, backups: str, label: str, table: str, catalog: dict[str, dict], subject_key: str, subject: str) -> DataFrame:
+    """One subject's rows of a backup's table in plain text, with the keys of today: SubjectErased once the key is destroyed."""
+    copy = VersionedTable(store.spark, f"{backups.rstrip('/')}/{label}/objects/{table}").read()
+    return decrypt_view(copy, catalog, subject_key, store, table, subject)
+
+
+__all__ = ["AUDIT", "Erasure", "Holding", "VersionUnreadable", "backup_sets", "completed", "notification", "probes", "readers_of", "sweep", "verify_record", "view_from_backup"]

@@ -12,6 +12,7 @@ from ..operators import governance as gov
 from ..operators import quality as q
 from ..operators import quarantine as qr
 from ..operators import registry as reg
+from ..operators import reports as rep
 from ..operators import sampling as sm
 from ..session import scratch, table, written
 from ..sources import generators as gen
@@ -401,9 +402,10 @@ def content_hash(spark, d):
     return sm.content_hash(table(spark, d, "orders"), F.sha2(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus"), 256))
 
 
-@query("select l_returnflag as workspace, l_partkey as address, l_linenumber as path from lineitem where l_quantity = l_discount * 0 + 25 group by all having count(*) > 0")
+@query("select l_returnflag as workspace, l_partkey as address, l_linenumber as path from lineitem where l_quantity = 25 group by all")
 def drift_changes(spark, d):
-    return table(spark, d, "lineitem").where("l_quantity = 25").select(F.col("l_returnflag").alias("workspace"), F.col("l_partkey").alias("address"), F.col("l_linenumber").alias("path")).distinct()
+    drawn = (F.col("l_quantity") == 25).cast("int")
+    return gov.drift_changes(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("workspace"), F.col("l_partkey").alias("address"), F.col("l_linenumber").alias("path"), drawn.alias("before"), F.lit(0).alias("after")))
 
 
 @query("""with x as (select c_custkey as address, c_mktsegment as path, c_nationkey as before, c_nationkey % 5 as after from customer), p as (select address, path, after as p0, case when address % 2 = 0 then before else before + 1 end as p1 from x)
@@ -423,9 +425,16 @@ def gate_latency_quantiles(spark, d):
     return gov.latencies(table(spark, d, "events"), "event_type", "value")
 
 
-@query("select event_type, count(*) filter (value > 100) as rejected, max(value) as worst from events group by all")
+@query("""with r as (select o_orderpriority as gate, o_orderstatus <> 'P' as done, case o_orderkey % 4 when 0 then 'failure' when 1 then 'cancelled' else 'success' end as conclusion, case when o_custkey % 9 > 0 then o_totalprice end as s, o_custkey % 5 = 0 as fast from orders),
+d as (select * from r where done and conclusion <> 'cancelled'), f as (select gate, count(*) as full_checks, median(s) as p50, quantile_disc(s, 0.9) as p90 from (select gate, floor(s) as s from d where s is not null and not fast) group by gate)
+select gate, count(*) as runs, count(*) filter (conclusion = 'failure') as rejections, coalesce(any_value(full_checks), 0) as full_checks, any_value(p50) as p50, any_value(p90) as p90 from d left join f using (gate) group by gate""")
 def gate_rejections(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 100).alias("rejected"), F.max("value").alias("worst"))
+    """Orders are runs: how many were rejected by gate, and how long full checks took."""
+    o, key = table(spark, d, "orders"), F.col("o_custkey")
+    started = F.col("o_orderdate").cast("timestamp")
+    step = F.struct(F.when(key % 5 == 0, "Fast path: nothing changed").otherwise("Full check").alias("name"), F.lit("success").alias("conclusion"))
+    runs = o.select(F.col("o_orderpriority").alias("gate"), F.when(F.col("o_orderstatus") == "P", "in_progress").otherwise("completed").alias("status"), F.when(F.col("o_orderkey") % 4 == 0, "failure").when(F.col("o_orderkey") % 4 == 1, "cancelled").otherwise("success").alias("conclusion"), started.alias("started"), F.when(key % 9 > 0, F.timestamp_seconds(F.unix_seconds(started) + F.floor("o_totalprice"))).alias("completed"), F.array(step).alias("steps"))
+    return rep.gate_runs(runs)
 
 
 def _metrics(spark, d):
@@ -448,9 +457,29 @@ def metrics_exposition(spark, d):
     return gov.exposition(_metrics(spark, d).groupBy("name", "label").agg(F.max("value").alias("value")))
 
 
-@query("select coalesce(max(value) filter (event_type = 'purchase'), 0) as top, cast(sum(case when value > 50 then 1 else 0 end) as bigint) as high, count(*) as n from events")
+PANEL_METRICS = ("erasure_completions_total", "ge_checkpoint_pass", "terraform_drift", "schema_gate_rejections_total", "quarantine_rows_total", "gate_latency_seconds", "terraform_drift_attribute")
+PANEL_SQL = f"""(select {list(PANEL_METRICS)}[event_id % 7 + 1] as name, 'g' || user_id % 5 as gate, 'w' || user_id % 3 as workspace, ['0.5', '0.9'][event_id % 2 + 1] as quantile, 'a' || user_id % 4 as attribute, case when event_id % 7 = 1 then cast(user_id % 2 as double) else floor(value) end as value from events)"""
+EACH_SQL = "'attribute=' || attribute || ',gate=' || gate || ',quantile=' || quantile || ',workspace=' || workspace"
+
+
+def _panel(title: str, metric: str, how: str, labels: str = "''", where: str = "true", orelse: bool = False) -> str:
+    value = f"coalesce({how}, 0)" if orelse else how
+    return f"select '{title}' as panel, {labels} as labels, cast({value} as double) as value from {PANEL_SQL} where name = '{metric}' and {where}" + (" group by all" if labels != "''" else "" if orelse else " having count(*) > 0")
+
+
+@query(" union all ".join([
+    _panel("completed erasures", "erasure_completions_total", "max(value)"), _panel("failing checkpoints", "ge_checkpoint_pass", "count(*)", where="value = 0", orelse=True), _panel("drifted workspaces", "terraform_drift", "sum(value)", orelse=True),
+    _panel("rejected changes", "schema_gate_rejections_total", "sum(value)", orelse=True), _panel("checkpoints", "ge_checkpoint_pass", "max(value)", EACH_SQL), _panel("quarantined rows", "quarantine_rows_total", "max(value)", EACH_SQL),
+    _panel("quarantined rows of the last run", "quarantine_rows_last_run", "max(value)", EACH_SQL), _panel("rejections by gate", "schema_gate_rejections_total", "max(value)", "'gate=' || gate"), _panel("median latency by gate", "gate_latency_seconds", "max(value)", "'gate=' || gate", "quantile = '0.5'"),
+    _panel("drift by workspace", "terraform_drift", "max(value)", "'workspace=' || workspace"), _panel("drifted attributes", "terraform_drift_attribute", "max(value)", "'attribute=' || attribute || ',resource=,workspace=' || workspace"),
+]))
 def dashboard_panels(spark, d):
-    return table(spark, d, "events").agg(F.coalesce(F.max(F.when(F.col("event_type") == "purchase", F.col("value"))), F.lit(0)).alias("top"), F.sum((F.col("value") > 50).cast("long")).alias("high"), F.count(F.lit(1)).alias("n"))
+    """Events as series of seven metrics; one that no event is of shows nothing, or what stands for nothing."""
+    e, user = table(spark, d, "events"), F.col("user_id")
+    text = lambda letter, n: F.concat(F.lit(letter), (user % n).cast("string"))
+    labels = F.create_map(F.lit("gate"), text("g", 5), F.lit("workspace"), text("w", 3), F.lit("quantile"), F.when(F.col("event_id") % 2 == 0, "0.5").otherwise("0.9"), F.lit("attribute"), text("a", 4))
+    name = F.element_at(F.array(*map(F.lit, PANEL_METRICS)), (F.col("event_id") % 7 + 1).cast("int"))
+    return rep.panels(e.select(name.alias("name"), labels.alias("labels"), F.when(F.col("event_id") % 7 == 1, (user % 2).cast("double")).otherwise(F.floor("value").cast("double")).alias("value")))
 
 
 def _lake(spark, d) -> tuple[str, str]:
@@ -552,20 +581,44 @@ def audit_primary_counts(spark, d):
     return completed(audit)
 
 
-@query("select o_orderkey, n from (select o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as n from orders)")
+@query("select o_orderkey, n, 'v' || lpad(cast(n as varchar), 4, '0') as file from (select o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as n from orders)")
 def history_order(spark, d):
-    from pyspark.sql import Window
-
-    return table(spark, d, "orders").select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).cast("long").alias("n"))
+    return rep.numbered(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_custkey", "o_orderdate", "o_orderkey").select("o_orderkey", "n", "file")
 
 
 @query("select l_suppkey, string_agg(l_partkey || ':' || l_linenumber, ',' order by l_partkey, l_linenumber) as locations from (select *, row_number() over (partition by l_suppkey order by l_partkey, l_linenumber) as r from (select distinct l_suppkey, l_partkey, l_linenumber from lineitem)) where r <= 3 group by all")
 def usage_locations(spark, d):
-    from pyspark.sql import Window
+    return rep.first_places(table(spark, d, "lineitem"), "l_suppkey", "l_partkey", "l_linenumber")
+
+
+@query("select o_orderstatus, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as minor, count(*) as n from orders where cast(o_orderdate as date) = (select cast(min(o_orderdate) as date) + 7 from orders) group by all")
+def day_totals(spark, d):
+    """One day of orders, a week after the first one: the range of the day reaches the scan."""
+    from datetime import timedelta
+
+    orders = table(spark, d, "orders")
+    day = orders.agg(F.to_date(F.min("o_orderdate"))).first()[0] + timedelta(days=7)
+    return orders.where(rep.on_day(F.col("o_orderdate"), day)).groupBy("o_orderstatus").agg(F.sum(F.expr(MINOR)).alias("minor"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select o_orderkey, cast(1 as bigint) as run_ts, 'values_to_be_in_set(o_orderstatus)' as broken from {BAD}")
+def quarantine_listing(spark, d):
+    return rep.quarantine_listing(_quarantine(spark, d), "o_orderkey").select("o_orderkey", "run_ts", "broken")
+
+
+@query("""with b as (select p_brand as dataset, p_type as name from part where p_size < 30), h as (select p_brand as dataset, p_type as name from part where p_size > 20)
+select dataset, case when exists (select 1 from h where h.dataset = x.dataset) then 'h' else 'b' end as topic, string_agg(distinct name, ',' order by name) as names from (select * from b union select * from h) x group by dataset""")
+def scan_universe(spark, d):
+    part = table(spark, d, "part")
+    side = lambda rows, mark: part.where(rows).groupBy(F.col("p_brand").alias("dataset")).agg(F.collect_set("p_type").alias("names")).select("dataset", F.lit("s").alias("subject"), F.lit(mark).alias("topic"), F.lit("p").alias("delta_path"), "names")
+    return gov.scan_universe(side("p_size < 30", "b"), side("p_size > 20", "h")).select("dataset", "topic", F.array_join("names", ",").alias("names"))
+
 
-    distinct = table(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber").distinct()
-    top = distinct.withColumn("r", F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_partkey", "l_linenumber"))).where("r <= 3")
-    return top.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber"))).alias("x")).select("l_suppkey", F.array_join(F.transform("x", lambda x: F.concat(x.l_partkey.cast("string"), F.lit(":"), x.l_linenumber.cast("string"))), ",").alias("locations"))
+@query("select page_id, split_part(regexp_replace(url, '^https?://', ''), '/', 1) as bucket, regexp_extract(rtrim(regexp_replace(url, '^https?://', ''), '/'), '^[^/]*/(.*)$', 1) as key, '/lake/' || rtrim(regexp_replace(url, '^https?://', ''), '/') as place, '/q/' || split_part(url, '.', -1) as own from pages")
+def path_parts(spark, d):
+    stored = F.regexp_replace("url", "^https?://", "s3n://")
+    b = fn.bucket_and_key(stored)
+    return table(spark, d, "pages").select("page_id", b.bucket.alias("bucket"), b.key.alias("key"), fn.placed_path(stored, "/lake/").alias("place"), fn.table_path("url", "/q").alias("own"))
 
 
 @query("select event_type, count(*) as n from events where value < 10 or value > 90 group by all")
