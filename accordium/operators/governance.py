@@ -267,7 +267,14 @@ def alerts(metrics: DataFrame, now: int) -> DataFrame:
 
 
 def exposition(metrics: DataFrame) -> DataFrame:
-    """One line of the metrics text format for each (name, label, value)."""
+    """One line of the metrics text format for each row: name, value, and either `labels`, a map of any number of labels (written by
+    name; null or empty: no braces), or `label`, the value of the only one. Rows without a name or value have no line."""
     from ..functions.scalars import escaped_label
 
-    return metrics.select(F.concat("name", F.lit('{label="'), escaped_label("label"), F.lit('"} '), F.col("value").cast("string")).alias("line"))
+    if "labels" in metrics.columns:
+        pairs = F.transform(F.array_sort(F.map_entries("labels")), lambda e: F.concat(e.key, F.lit('="'), escaped_label(e.value), F.lit('"')))
+        inside = F.array_join(pairs, ",")
+        braces = F.when(F.coalesce(inside, F.lit("")) == "", "").otherwise(F.concat(F.lit("{"), inside, F.lit("}")))
+    else:
+        braces = F.concat(F.lit('{label="'), escaped_label("label"), F.lit('"}'))
+    return metrics.select(F.concat("name", braces, F.lit(" "), F.col("value").cast("string")).alias("line")).where("line is not null")

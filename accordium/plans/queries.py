@@ -457,6 +457,13 @@ def metrics_exposition(spark, d):
     return gov.exposition(_metrics(spark, d).groupBy("name", "label").agg(F.max("value").alias("value")))
 
 
+@query("""select 'panel{day="' || strftime(ts, '%Y-%m-%d') || '",kind="' || event_type || '",user="u\\"' || user_id % 3 || '"} ' || count(*) as line from events group by strftime(ts, '%Y-%m-%d'), event_type, user_id % 3""")
+def labelled_exposition(spark, d):
+    labels = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("day"), F.date_format("ts", "yyyy-MM-dd"), F.lit("user"), F.concat(F.lit('u"'), (F.col("user_id") % 3).cast("string")))
+    series = table(spark, d, "events").select(F.to_json(labels).alias("key"), labels.alias("labels")).groupBy("key").agg(F.any_value("labels").alias("labels"), F.count(F.lit(1)).alias("value"))
+    return gov.exposition(series.withColumn("name", F.lit("panel")))
+
+
 PANEL_METRICS = ("erasure_completions_total", "ge_checkpoint_pass", "terraform_drift", "schema_gate_rejections_total", "quarantine_rows_total", "gate_latency_seconds", "terraform_drift_attribute")
 PANEL_SQL = f"""(select {list(PANEL_METRICS)}[event_id % 7 + 1] as name, 'g' || user_id % 5 as gate, 'w' || user_id % 3 as workspace, ['0.5', '0.9'][event_id % 2 + 1] as quantile, 'a' || user_id % 4 as attribute, case when event_id % 7 = 1 then cast(user_id % 2 as double) else floor(value) end as value from events)"""
 EACH_SQL = "'attribute=' || attribute || ',gate=' || gate || ',quantile=' || quantile || ',workspace=' || workspace"

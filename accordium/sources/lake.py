@@ -266,6 +266,13 @@ def objects_by_table(manifest_rows: DataFrame) -> DataFrame:
     return manifest_rows.groupBy(owner.alias("table")).agg(F.count(F.lit(1)).alias("objects"), F.sum("size").alias("bytes"))
 
 
+def digest(manifest_rows: DataFrame) -> DataFrame:
+    """n_rows and hash of a manifest: one digest of a whole backup, which any change of a key, size or content changes."""
+    from ..operators.sampling import ordered_hash
+
+    return ordered_hash(manifest_rows, ["key"], F.sha2(F.concat_ws("|", "key", F.col("size").cast("string"), "sha256"), 256))
+
+
 def backups_holding(spark: SparkSession, root: str, key: str, subject: str) -> list[str]:
     """label/table of the backups that hold rows of a subject. An unreadable table is an error, not an empty one."""
     out = []

@@ -107,3 +107,33 @@ def test_protect_refuses_what_it_does_not_know(spark, tmp_path, entry):
     with pytest.raises(ValueError, match="other"):
         protect(spark.createDataFrame([("S1", "x")], "id string, name string"), {"other": entry}, "id", store, KEY, "t")
     assert not store.table.versions()
+
+
+def test_key_counts(spark, tmp_path):
+    store = KeyStore(spark, str(tmp_path / "keys"), KEY)
+    assert tuple(store.counts().first()) == (0, 0)
+    store.get_or_create(spark.createDataFrame([("a",), ("b",), (None,)], "id string"))
+    store.destroy("b")
+    store.destroy("never")
+    assert tuple(store.counts().first()) == (1, 2)
+
+
+def test_evidence_names_may_not_clash(spark):
+    from accordium.operators.quarantine import evidence
+
+    rows = spark.createDataFrame([(1, "s", ["x"])], "id int, suite string, expectation array<string>")
+    with pytest.raises(ValueError, match="suite"):
+        evidence(rows, {})
+
+
+def test_exposition(spark):
+    rows = spark.createDataFrame([("up", {"b": 'q"\\', "a": "x\ny"}, 1), ("up", {}, 2), ("up", None, 3), (None, {}, 4), ("up", {}, None)], "name string, labels map<string,string>, value long")
+    assert [r[0] for r in gov.exposition(rows).collect()] == ['up{a="x\\ny",b="q\\"\\\\"} 1', "up 2", "up 3"]
+    one = spark.createDataFrame([("up", "x", 1)], "name string, label string, value long")
+    assert [r[0] for r in gov.exposition(one).collect()] == ['up{label="x"} 1']
+
+
+def test_digest_of_a_backup(spark, tmp_path):
+    rows = [("b", 2, "y"), ("a", 1, "x")]
+    of = lambda rows: tuple(lake.digest(spark.createDataFrame(rows, "key string, size long, sha256 string")).first())
+    assert of(rows) == of(rows[::-1]) != of([("b", 2, "z"), ("a", 1, "x")]) and of(rows)[0] == 2
