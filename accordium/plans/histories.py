@@ -20,7 +20,7 @@ BREAKS_SQL = f"""with f as {FIELDS_SQL}, v as (select distinct subject, version
 select w.subject, w.version, w.direction, case when b.name is null then 'MISSING_DEFAULT' else 'TYPE_MISMATCH' end as problem, a.name as place
  from w join f a on a.subject = w.subject and a.version = w.reader left join f b on b.subject = w.subject and b.version = w.writer and b.name = a.name
  where (b.name is null and not a.has_default) or (b.name is not null and a.type <> b.type and not ((b.type = 'int' and a.type in ('long', 'double')) or (b.type = 'long' and a.type = 'double')))
-union all select subject, null, null, 'BAD_MODE', mode from o where mode = 'NONE'"""
+union all select subject, 0, 'NONE', 'BAD_MODE', mode from o where mode = 'NONE'"""
 
 
 def _schemas(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -38,11 +38,11 @@ def _schemas(spark, d) -> tuple[DataFrame, DataFrame]:
 
 @query(BREAKS_SQL)
 def compatibility_findings(spark, d):
-    return compat.incompatible(*_schemas(spark, d))
+    return compat.incompatible(*_schemas(spark, d)).fillna({"version": 0, "direction": "NONE"})
 
 
 @query(f"""with x as ({BREAKS_SQL}), g as {FIELDS_SQL}, o as (select distinct subject, {MODE_SQL} as mode from g where version = 5)
-select o.subject, o.mode, count(x.problem) = 0 as passed, count(x.problem) as problems, count(distinct x.version) as versions from o left join x using (subject) group by all""")
+select o.subject, o.mode, count(x.problem) = 0 as passed, count(x.problem) as problems, count(distinct nullif(x.version, 0)) as versions from o left join x using (subject) group by all""")
 def compatibility_verdicts(spark, d):
     return compat.verdicts(*_schemas(spark, d))
 
