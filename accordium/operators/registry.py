@@ -94,25 +94,31 @@ def audit_tables(audit: DataFrame) -> DataFrame:
     return audit.select("request_id", F.inline(zipped)).toDF("request_id", "table", "rows", "before", "after")
 
 
+#: Levels of JSON that a pass over the rows opens; deeper ones are left to a next pass, over what is still closed.
+LEVELS = 4
+
+
 def leaf_diff(pairs: DataFrame) -> DataFrame:
     """id, path, before, after for each leaf that differs in pairs(id, before, after) of JSON texts.
 
-    Objects on both sides are opened level by level, also where they are texts within JSON; lists are leaves, and leaves are
-    compared as text, so 1 and "1" are equal. A key that one side lacks is null there. As many rounds as the JSON is deep; what a
-    round leaves to open is written, so that no round does former ones again.
+    Objects on both sides are opened, also where they are texts within JSON; lists are leaves, and leaves are compared as text, so
+    1 and "1" are equal. A key that one side lacks is null there; a null id and repeated rows are kept as they are, and an empty
+    table gives an empty result. Other columns are ignored, whatever their names. Rows are opened where they are, LEVELS levels in
+    one pass without a shuffle; only what is deeper than that is written and goes through another pass.
     """
     opened = lambda c: F.when(F.ltrim(c).startswith("{"), F.try_parse_json(c))
-    level, out = pairs.select("id", F.lit("").alias("path"), "before", "after"), None
+    objects = opened(F.col("before")).isNotNull() & opened(F.col("after")).isNotNull()
+    b, a = (F.from_json(c, "map<string,string>") for c in ("before", "after"))
+    path = lambda key: F.when(F.col("path") == "", key).otherwise(F.concat("path", F.lit("."), key))
+    below = lambda x, y: F.transform(F.array_union(F.map_keys(x), F.map_keys(y)), lambda k: F.struct(path(k).alias("path"), F.try_element_at(x, k).alias("before"), F.try_element_at(y, k).alias("after")))
+    row, out = F.array(F.struct("path", "before", "after")), None
+    level = pairs.select("id", F.lit("").alias("path"), F.col("before").cast("string").alias("before"), F.col("after").cast("string").alias("after"))
     while True:
-        level = level.where("not (before <=> after)")
-        objects = opened(F.col("before")).isNotNull() & opened(F.col("after")).isNotNull()
-        level = written(level.withColumn("open", objects))
-        leaves, level = level.where("not open").drop("open"), level.where("open")
+        for _ in range(LEVELS):
+            maps = level.where("not (before <=> after)").withColumn("open", objects).withColumn("b", F.when(F.col("open"), b)).withColumn("a", F.when(F.col("open"), a))
+            level = maps.select("id", F.inline(F.when(F.col("open"), below(F.col("b"), F.col("a"))).otherwise(row)))
+        level = written(level.where("not (before <=> after)").withColumn("open", objects))
+        leaves, level = level.where("not open").drop("open"), level.where("open").drop("open")
         out = leaves if out is None else out.union(leaves)
         if level.isEmpty():
             return out
-        b, a = (F.from_json(c, "map<string,string>") for c in ("before", "after"))
-        maps = level.select("id", "path", b.alias("b"), a.alias("a"))
-        keys = maps.select("id", "path", "b", "a", F.explode(F.array_union(F.map_keys("b"), F.map_keys("a"))).alias("key"))
-        path = F.when(F.col("path") == "", F.col("key")).otherwise(F.concat("path", F.lit("."), "key"))
-        level = keys.select("id", path.alias("path"), F.try_element_at("b", "key").alias("before"), F.try_element_at("a", "key").alias("after"))

@@ -9,6 +9,30 @@ def test_leaf_diff(spark):
     assert {tuple(r) for r in got.collect()} == {(1, "a.k", "1", "2"), (1, "c", None, "3"), (2, "", "{bad", '{"a": 1}'), (3, "", None, "x"), (5, "a.z", None, "1")}
 
 
+def test_leaf_diff_deep(spark):
+    """Against a plain recursion, with texts deeper than one pass, a null id, repeated rows and clashing names."""
+    import json
+    import random
+
+    draw = random.Random(3)
+
+    def tree(depth):
+        return {k: tree(depth - 1) if depth and draw.random() < 0.85 else draw.choice([1, "1", None, [1, 2], {}, "x"]) for k in draw.sample("abc", 2)}
+
+    def leaves(x, y, at=""):
+        if isinstance(x, dict) and isinstance(y, dict):
+            return [d for k in x.keys() | y.keys() for d in leaves(x.get(k), y.get(k), f"{at}.{k}" if at else k)]
+        x, y = (v if v is None or isinstance(v, str) else json.dumps(v, separators=(",", ":")) for v in (x, y))
+        return [] if x == y else [(at, x, y)]
+
+    pairs = [(i if i else None, tree(9), tree(9)) for i in range(12)]
+    pairs += pairs[:3]
+    df = spark.createDataFrame([(i, json.dumps(x, separators=(",", ":")), json.dumps(y, separators=(",", ":")), "p") for i, x, y in pairs], "id int, before string, after string, path string")
+    got = sorted(map(tuple, reg.leaf_diff(df).collect()), key=str)
+    assert got == sorted(((i, *d) for i, x, y in pairs for d in leaves(x, y)), key=str) and max(r[1].count(".") for r in got) >= reg.LEVELS + 1
+    assert reg.leaf_diff(df.limit(0)).isEmpty()
+
+
 def test_registered(spark):
     rows = [("s", 5, '{"b": 1, "a": 2}'), ("s", 3, '{"a":2,"b":1}'), ("s", 4, '{"a": 3}'), ("s", 1, "{oops"), ("s", 2, None), ("t", 9, '{"a": 3}')]
     got = reg.registered(spark.createDataFrame(rows, "subject string, at int, schema string"))
