@@ -1,7 +1,7 @@
 """LM scoring by online logistic context mixing.
 
 A text is a sequence of lower-cased words and an end. Documents are dealt into groups of about GROUP bytes by their least
-three-word hash, so that copies and texts with passages in common mostly meet; a group that copies have made too large is split.
+three-word hash, so that copies and texts with passages in common mostly meet; a group that copies have made too large is split, and rows that repeat both id and text are dealt to its parts.
 Groups and what they learn depend on the documents alone, not on how their rows are partitioned, and grow in number with them;
 the words of all training documents are counted in Spark and joined to the groups.
 
@@ -329,7 +329,7 @@ def _grouped(groups: int, sizes: bool):
 
 
 def _groups(rows: DataFrame, kind: str) -> DataFrame:
-    """rows (doc_id, text, fold, print) with `chunk`, the group that a document belongs to."""
+    """rows (doc_id, text, fold, print) with `chunk`, the group that a document belongs to, and `copies`, how often it is there."""
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1)).first()[0] or 0
     groups = max(1, -(-int(total) // GROUP))
     sizes = rows.mapInArrow(_grouped(groups, True), "group long, bytes long").groupBy("group").agg(F.sum("bytes").alias("bytes"))
@@ -337,10 +337,21 @@ def _groups(rows: DataFrame, kind: str) -> DataFrame:
     dealt = rows.mapInArrow(_grouped(groups, False), f"doc_id {kind}, text string, fold long, print long, group long")
     many = split.count()
     if not many:
-        return dealt.withColumnRenamed("group", "chunk")
+        return dealt.withColumnRenamed("group", "chunk").withColumn("copies", F.lit(1).cast("long"))
     dealt = dealt.join(F.broadcast(split) if many <= BROADCAST_GROUPS else split, "group", "left")
-    part = F.coalesce(F.pmod(F.xxhash64("doc_id", "print"), "parts"), F.lit(0))
-    return dealt.select("doc_id", "text", "fold", "print", (part * groups + F.col("group")).alias("chunk"))
+    fields = ["doc_id", "text", "fold", "print"]
+    own = F.pmod(F.xxhash64("doc_id", "print"), "parts")
+    chunk = lambda part: (F.coalesce(part, F.lit(0)) * groups + F.col("group")).alias("chunk")
+    repeated = written(rows.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    if repeated.isEmpty():
+        return dealt.select(*fields, chunk(own), F.lit(1).cast("long").alias("copies"))
+    # rows that repeat both id and text: one of them goes to each part with the number of copies that fall to it
+    twins = repeated.select(F.col("doc_id").alias("twin_id"), F.col("print").alias("twin"))
+    same = F.col("doc_id").eqNullSafe(F.col("twin_id")) & F.col("print").eqNullSafe(F.col("twin")) & F.col("parts").isNotNull()
+    single = dealt.join(twins, same, "left_anti").select(*fields, chunk(own), F.lit(1).cast("long").alias("copies"))
+    once = dealt.join(twins, same, "left_semi").groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("text", "fold", "group", "parts")))
+    share = once.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", "parts") - 1)))
+    return single.union(share.select(*fields, chunk(F.pmod(own + F.col("k"), "parts")), F.floor((F.col("n") - F.col("k") - 1) / F.col("parts") + 1).alias("copies")))
 
 
 def _chunk(kind: pa.DataType):
@@ -348,6 +359,9 @@ def _chunk(kind: pa.DataType):
 
     def run(docs: pa.Table) -> pa.Table:
         docs = docs.sort_by([("print", "ascending"), ("doc_id", "ascending")])
+        copies = docs["copies"].to_numpy()
+        if copies.max() > 1:
+            docs = docs.take(np.repeat(np.arange(len(copies)), copies))
         number: dict[bytes, int] = {}
         seq: list[np.ndarray] = []
         tokens, size = [], []

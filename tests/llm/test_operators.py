@@ -257,6 +257,23 @@ def test_lm(spark, docs):
     assert lm.score(docs.limit(0)).isEmpty()
 
 
+def test_lm_equal_rows(spark):
+    """Rows that repeat both id and text are dealt to all parts of a split group, none lost, and the same from any partitions."""
+    text = "one two three four"
+    docs = spark.createDataFrame([(7, text)] * 400 + [(None, text)] * 30 + [(i, f"{text} {i}") for i in range(100, 120)] + [(900, None)] * 3, "doc_id long, text string")
+    size, lm.GROUP = lm.GROUP, 1_000
+    try:
+        rows = docs.select("doc_id", "text", F.lit(0).cast("long").alias("fold"), F.xxhash64("text").alias("print"))
+        dealt = lm._groups(rows, "bigint").groupBy("doc_id", "text", "chunk").agg(F.sum("copies").alias("n")).collect()
+        scores = [sorted(map(tuple, lm.score(d).collect()), key=str) for d in (docs, docs.repartition(6))]
+    finally:
+        lm.GROUP = size
+    sevens = [r.n for r in dealt if r.doc_id == 7]
+    assert len(sevens) >= 8 and sum(sevens) == 400 and max(sevens) - min(sevens) <= 1
+    assert sum(r.n for r in dealt) == docs.count() and {r.doc_id: r.n for r in dealt if r.text is None} == {900: 3}
+    assert scores[0] == scores[1] and sorted(str(r[0]) for r in scores[0]) == sorted(str(r.doc_id) for r in docs.collect())
+
+
 def _group(texts, held):
     """Bits of the tokens of texts as one group, and the words."""
     number = {}
