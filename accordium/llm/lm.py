@@ -403,12 +403,11 @@ def score(docs: DataFrame) -> DataFrame:
     fields = f"chunk long, words array<string>, train array<int>, ids array<{kind}>, held array<boolean>, tokens array<long>, bytes array<long>, seq array<int>"
     chunks = written(_groups(rows, kind).groupBy("chunk").applyInArrow(_chunk(to_arrow_type(docs.schema["doc_id"].dataType)), fields), "chunks")
     words = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("k", "w"))
-    # dealt by word once: counted, and the counts joined back
-    words = words.select("chunk", "k", F.xxhash64("w.words").alias("key"), F.col("w.train").alias("n")).repartition("key")
-    counted = words.groupBy("key").agg(F.sum("n").alias("all"), F.min("chunk").alias("first")).where("all > 0")
-    placed = written(words.join(counted, "key").select(F.col("chunk").alias("of"), "k", F.col("all").alias("n"), (F.col("chunk") == F.col("first")).alias("once")), "words")
-    total = placed.where("once").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    placed = placed.select("of", "k", "n")
+    words = words.select("chunk", "k", F.xxhash64("w.words").alias("key"), F.col("w.train").alias("n"))
+    # a frequent word has a row in every group: it is counted with partial sums, and its partition of the join can be split
+    counted = written(words.groupBy("key").agg(F.sum("n").alias("all")).where("all > 0"), "counts")
+    total = counted.agg(F.coalesce(F.sum("all"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    placed = words.join(counted, "key").select(F.col("chunk").alias("of"), "k", F.col("all").alias("n"))
     train_tokens, floor = int(total.n), float(np.log10(total.n + total.v + 1))
 
     def finish(docs_of: pa.Table, words_of: pa.Table) -> pa.Table:
