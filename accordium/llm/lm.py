@@ -85,7 +85,14 @@ class Mixer:
 
 
 def _cost(p: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    return -np.log2(np.where(bits > 0, p, 1 - p))
+    p = np.where(bits > 0, p, 1 - p)
+    return np.negative(np.log2(p, out=p), out=p)
+
+
+def _both(counts: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of zeros and ones of some slots; the two lie side by side and are fetched as one."""
+    pair = counts.view(np.complex64).take(slot)
+    return pair.real, pair.imag
 
 
 def _logit(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -138,8 +145,7 @@ class Speller:
         flat = bits.reshape(-1)
         x, levels = np.ones((len(BYTE_BITS) + 1, len(flat)), np.float32), []
         for k in range(len(BYTE_BITS)):
-            at = 2 * slots[k].reshape(-1)
-            n0, n1 = self.counts.take(at), self.counts.take(at + 1)
+            n0, n1 = _both(self.counts, slots[k].reshape(-1))
             x[k] = _logit(n0, n1)
             levels.append(_level(n0 + n1))
         gate = levels[-1] * 4 + levels[-2]
@@ -259,9 +265,13 @@ def group_bits(seq: np.ndarray, tokens: np.ndarray, held: np.ndarray, words: lis
         return at, np.repeat(which, n)
 
     def slot(k: int, node: np.ndarray, token: np.ndarray) -> np.ndarray:
-        h = (contexts[k].take(token) + node.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h = contexts[k].take(token)
+        h += node.view(np.uint64)
+        h *= np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-        return ((h * np.uint64(M)) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+        h *= np.uint64(M)
+        h >>= np.uint64(64 - WORD_BITS)
+        return h.view(np.int64)
 
     tables = [np.zeros(2 << WORD_BITS, np.float32) for _ in contexts]
     for k, table in enumerate(tables):
@@ -282,8 +292,7 @@ def group_bits(seq: np.ndarray, tokens: np.ndarray, held: np.ndarray, words: lis
             gate = (node >= PLACES) * 16
             for k, table in enumerate(tables):
                 some = np.flatnonzero(active[k].take(token))
-                s = 2 * slot(k, node.take(some), token.take(some))
-                n0, n1 = table.take(s), table.take(s + 1)
+                n0, n1 = _both(table, slot(k, node.take(some), token.take(some)))
                 if learn:  # without the token's own
                     mine = bit.take(some)
                     n1 -= mine
@@ -405,7 +414,7 @@ def score(docs: DataFrame) -> DataFrame:
     words = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("k", "w"))
     words = words.select("chunk", "k", F.xxhash64("w.words").alias("key"), F.col("w.train").alias("n"))
     # a frequent word has a row in every group: it is counted with partial sums, and its partition of the join can be split
-    counted = written(words.groupBy("key").agg(F.sum("n").alias("all")).where("all > 0"), "counts")
+    counted = written(words.where("n > 0").groupBy("key").agg(F.sum("n").alias("all")), "counts")
     total = counted.agg(F.coalesce(F.sum("all"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     placed = words.join(counted, "key").select(F.col("chunk").alias("of"), "k", F.col("all").alias("n"))
     train_tokens, floor = int(total.n), float(np.log10(total.n + total.v + 1))
