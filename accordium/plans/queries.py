@@ -783,12 +783,12 @@ def json_leaf_diff(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    from . import histories  # noqa: F401  registers its own
+    from . import histories, subjects  # noqa: F401  register their own
 
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import histories  # noqa: F401
+    from . import histories, subjects  # noqa: F401
 
     return dict(SQL)
