@@ -19,6 +19,9 @@ from .labelled import filtered
 
 #: Documents that the model is fitted on at most, chosen by a hash of their text, so that the choice doesn't follow partitions.
 SAMPLE_ROWS = 8_000
+#: Bytes of their texts at most; a text that would go beyond is left out of the sample, so that the model, which goes through the
+#: driver and to every worker, is bounded however long texts are.
+SAMPLE_BYTES = 64_000_000
 LONGEST = 5
 #: Characters that are handled at once; longer words go piece by piece, and no n-gram is lost between two.
 PIECE = 1 << 18
@@ -201,10 +204,16 @@ class Scorer:
         return names, scores
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """The model of all words of the sample and of all their n-grams; other words are left to the n-grams."""
     known = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").where(fold_of("doc_id", 4) != 2)
-    chosen = known.select(F.xxhash64("text").alias("print")).distinct().orderBy(F.xxhash64("print"), "print").limit(sample_rows)
+    sizes = known.groupBy(F.xxhash64("text").alias("print")).agg(F.max(F.octet_length("text")).alias("n"))
+    chosen, left = [], sample_bytes
+    for r in sizes.orderBy(F.xxhash64("print"), "print").limit(sample_rows).collect():  # two numbers for each row of the sample
+        if r.n <= left:
+            chosen.append((r.print,))
+            left -= r.n
+    chosen = docs.sparkSession.createDataFrame(chosen, "print long")
     sample = known.withColumn("print", F.xxhash64("text")).join(F.broadcast(chosen), "print").select("text", "lang", "print")
     counts = sample.dropDuplicates(["print", "lang"]).select("text", "lang").mapInArrow(_count, "lang string, k int, key long, n long")
     return Model.of(counts.groupBy("lang", "k", "key").agg(F.sum("n").alias("n")).toArrow())
@@ -214,7 +223,7 @@ def language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score; one row for each row of docs.
 
     docs needs doc_id, text and lang; other columns are ignored, whatever their names. The model is fitted on `sample_rows`
-    distinct texts at most, outside the held-out fold, with a lang; only the text is an input of a prediction. A null text, or
+    distinct texts and SAMPLE_BYTES at most, outside the held-out fold, with a lang; only the text is an input of a prediction. A null text, or
     one without letters, is `und` with score 0, as is every text where nothing could be learned. Ties go to the first language
     in order. Equal texts have equal predictions, whatever their ids. A null doc_id isn't held out. An empty table gives an
     empty result.

@@ -26,7 +26,7 @@ YOU = frozenset(b"you your yours yourself u ur du dich dir dein deine ihr euch t
 SIGNS = str.maketrans("013457@$!|", "oieastasil")
 NEAR = 5
 _SIGN = re.compile(rb"[A-Za-z][0-9@$!|*._-]+[A-Za-z]|[0-9@$][A-Za-z]")
-_DISGUISED = re.compile(rb"(?<![^\s])[A-Za-z0-9@$!|*._-]{3,}(?![^\s])")
+_DISGUISED = re.compile(rb"(?<![^\s])[A-Za-z0-9@$!|*._-]+(?![^\s])")
 
 
 def undisguised(token: str) -> str:
@@ -40,7 +40,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices(texts):
             bad, all_ = Counter(), Counter()
             for t, y in zip(texts[a:b], ys[a:b], strict=True):
-                own = {w for w in (t or b"").translate(WORDS).split() if len(w) > 2}
+                own = set((t or b"").translate(WORDS).split())
                 all_.update(own)
                 if y:
                     bad.update(own)
