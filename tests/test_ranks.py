@@ -82,3 +82,21 @@ def test_hash_by_order(spark):
     assert digest(swapped)[1] != level[0] and digest(df, 1024)[1] != level[0]
     assert digest(df.limit(0)) == (0, hashlib.sha256(b"").hexdigest()) and digest(df.where("k = 3")) == (1, hashlib.sha256(b"v3").hexdigest())
     assert digest(df.withColumn("f", F.lit(None).cast("string")).where("k = 3"))[1] == hashlib.sha256(b"").hexdigest()
+
+
+def test_hash_by_order_of_two_levels(spark):
+    """However many runs there are, the second level is the last, as in the query's SQL."""
+    df = spark.range(503).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("f"))
+
+    def sha(texts):
+        return hashlib.sha256("".join(texts).encode()).hexdigest()
+
+    def digest(df, depth):
+        return tuple(sampling.ordered_hash(df, ["k"], F.col("f"), 8, depth).first())
+
+    rows = [f"v{i}" for i in range(503)]
+    runs = [sha(rows[i : i + 8]) for i in range(0, 503, 8)]
+    assert digest(df, 2) == digest(df.repartition(7), 2) == (503, sha(runs))
+    assert digest(df, 3) == (503, sha(sha(runs[i : i + 8]) for i in range(0, 63, 8)))
+    assert digest(df, 4) == digest(df, None) and digest(df.where("k < 60"), 2) == digest(df.where("k < 60"), None)
+    assert digest(df.limit(0), 2) == (0, sha([])) and digest(df.where("k = 3"), 2) == (1, sha(["v3"]))
