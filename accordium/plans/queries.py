@@ -367,8 +367,8 @@ def lineage_drift(spark, d):
 @query(f"""with h as {HITS}, b as (select * from h where consumer % 3 <> 0 and {REGISTERED}), w as (select * from h where not ({REGISTERED})), d as (select dataset, count(*) filter (change = 'removed') as removed, count(*) filter (change = 'changed') as retyped from {DIFF} group by all)
 select dataset, removed, retyped, coalesce(a, 0) as affected, coalesce(k, 0) as blocking, coalesce(x, 0) as warned, coalesce(k, 0) = 0 as passed from d left join (select dataset, count(*) as a from h group by all) using (dataset) left join (select dataset, count(*) as k from b group by all) using (dataset) left join (select dataset, count(*) as x from w group by all) using (dataset) where removed + retyped > 0""")
 def impact_verdict(spark, d):
-    diff, usage = written(_diff(spark, d)), _usage(spark, d)
-    hits, registered = written(gov.affected(usage, diff)), usage.where(REGISTERED)
+    diff, uses = written(_diff(spark, d)), _uses(spark, d)
+    hits, registered = gov.impact(uses, diff), uses.where(REGISTERED)
     acks = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("consumer"), F.lit("*").alias("field"), F.lit("7").alias("change"))
     return gov.impact_verdict(diff, hits, gov.blocking(hits, acks, "7", registered), gov.unregistered(hits, registered))
 
