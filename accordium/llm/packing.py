@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key
+from .common import row_key, written
 from .jaccard import ngram_jaccard
 
 CAPACITY = 8192
@@ -92,4 +92,5 @@ def best_fit_apart(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP
     # texts stay where they are: only their lengths and hashes are joined
     rows = docs.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"), F.xxhash64("text").alias("print"), row_key().alias("key")).join(found, "key")
     cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("print"))
-    return _packed(rows.select("doc_id", "source", "n", cluster.alias("cluster"), "print"), capacity, group)
+    # counted, then packed: the texts are hashed and the components looked up once
+    return _packed(written(rows.select("doc_id", "source", "n", cluster.alias("cluster"), "print"), "rows"), capacity, group)

@@ -517,3 +517,11 @@ def test_coder_beats_order_0():
     words = [rng.choice(500, 3, p=p) for _ in range(60)]  # a block sees each about ten times
     chained = np.concatenate([words[k] for k in rng.integers(0, 60, 20_000)])
     assert 8 * len(coder.encode(chained)) / len(chained) < 0.8 * entropy
+
+
+def test_texts_are_not_read_again_to_be_packed(spark, tmp_path):
+    """What is packed comes from a table of lengths and components, made once, not from the texts."""
+    docs = spark.createDataFrame([(i, f"some words of text {i % 7} and more of them", "a") for i in range(40)], "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/texts")
+    out = packing.best_fit_apart(spark.read.parquet(f"{tmp_path}/texts"), capacity=100, group=10)
+    assert not any("/texts/" in f for f in out.inputFiles()) and out.count() == 40
