@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORDS, offsets, slices, texts_of, written
+from .common import WORDS, lean, offsets, sliced_texts, texts_of, written
 
 BITS = 22
 SHINGLE = 3
@@ -97,12 +97,12 @@ def _places(words: list[bytes], counts: list[int], bitmap: np.ndarray, ks: list[
 
 
 def _count(bitmap, ks):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, lengths = bitmap.value, ks
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                split = [split_words(t) for t in texts[a:b]]
+            for _, _, texts in sliced_texts(batch):
+                split = [split_words(t) for t in texts]
                 words, counts = [w for s in split for w in s], [len(s) for s in split]
                 for _, keys in _places(words, counts, bits, lengths):
                     found, n = np.unique(keys, return_counts=True)
@@ -114,12 +114,13 @@ def _count(bitmap, ks):
 def _candidates(bitmap, ks, reach: int):
     """One row for each text with its number of words, and one for each candidate place with the words around it."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         for batch in batches:
-            texts, ids, prints = texts_of(batch), batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for a, b in slices(texts):
-                split = [split_words(t) for t in texts[a:b]]
+            ids, prints = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for a, _, texts in sliced_texts(batch):
+                split = [split_words(t) for t in texts]
                 words, counts = [w for s in split for w in s], [len(s) for s in split]
                 starts = offsets(counts)
                 # a text's own row matches no window; its key only spreads such rows over the join's tasks

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import discard, offsets, slices_of, words_of, written
+from .common import discard, lean, offsets, slices_of, words_of, written
 from .graph import components
 
 #: Of eight parts of the key space, so many take part in the first step.
@@ -69,6 +69,7 @@ def _list(arrays: list[np.ndarray]) -> pa.Array:
 def _sets(width: int, only: bool, share: int):
     """only: the rows of wanted classes (a column tells), with all their keys; else every row, with the shared part of its keys."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
@@ -83,6 +84,7 @@ def _sets(width: int, only: bool, share: int):
 def _parted(parts: int):
     """For each part of the key space a row of this batch's keys, each once, with its class; 0 where two classes have it."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, slices, texts_of, written
+from .common import fold_of, lean, sliced_texts, written
 
 #: Labelled rows that a classifier is fitted on at most, chosen by a hash of their id.
 SAMPLE_ROWS = 20_000
@@ -30,11 +30,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
 def matrix(rows: DataFrame, features: Features, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the sample: SAMPLE_ROWS small rows at most reach the driver."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                x = features(texts[a:b])
+            for a, b, texts in sliced_texts(batch):
+                x = features(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column(1).slice(a, b - a)], names=["x", "y"])
 
     got = rows.select("text", "y").mapInArrow(run, "x array<double>, y int").toPandas()
@@ -48,11 +48,11 @@ def matrix(rows: DataFrame, features: Features, size: int) -> tuple[np.ndarray,
 def scored(docs: DataFrame, score: Callable[[list[bytes | None]], np.ndarray]) -> DataFrame:
     """doc_id and score of every row."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(score(texts[a:b]), pa.float64())], names=["doc_id", "score"])
+            for a, b, texts in sliced_texts(batch):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(score(texts), pa.float64())], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
 
@@ -60,12 +60,12 @@ def scored(docs: DataFrame, score: Callable[[list[bytes | None]], np.ndarray]) -
 def filtered(docs: DataFrame, keeper: Callable[[], Callable[[list[bytes | None]], np.ndarray]]) -> DataFrame:
     """The rows, with all their columns, whose text is kept. Each task calls `keeper` once, for what tells texts to keep."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = keeper()
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                yield batch.slice(a, b - a).filter(pa.array(keep(texts[a:b]), pa.bool_()))
+            for a, b, texts in sliced_texts(batch):
+                yield batch.slice(a, b - a).filter(pa.array(keep(texts), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import fold_of, offsets, slices, texts_of
+from .common import fold_of, lean, offsets, sliced_texts
 from .labelled import filtered
 
 #: Documents that the model is fitted on at most, chosen by a hash of their text, so that the choice doesn't follow partitions.
@@ -26,7 +26,7 @@ LONGEST = 5
 #: Characters that are handled at once; longer words go piece by piece, and no n-gram is lost between two.
 PIECE = 1 << 18
 #: Words whose scores a task remembers; it starts anew beyond that.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 UNDETERMINED = "und"
 #: Lower-cases A-Z; what is ASCII and no letter becomes a blank.
 TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -95,12 +95,13 @@ def _keyed(words: list[bytes], counts: list[int]) -> Iterator[tuple[int, np.ndar
             yield k, keys, np.bincount(at, n[of[: len(h)][fits]], len(keys))
 
 
+@lean
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, langs = texts_of(batch), batch.column(1).to_pylist()
-        for a, b in slices(texts):
+        langs = batch.column(1).to_pylist()
+        for a, b, texts in sliced_texts(batch):
             by: dict[str, Counter] = {}
-            for t, lang in zip(texts[a:b], langs[a:b], strict=True):
+            for t, lang in zip(texts, langs[a:b], strict=True):
                 by.setdefault(lang, Counter()).update(words_of(t))
             for lang, counts in by.items():
                 for k, keys, n in _keyed(list(counts), list(counts.values())):
@@ -230,12 +231,12 @@ def language(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, sample_rows))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(model.value)
         for batch in batches:
-            texts = texts_of(batch)
-            for a, b in slices(texts):
-                names, p = score(texts[a:b])
+            for a, b, texts in sliced_texts(batch):
+                names, p = score(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(names, pa.string()), pa.array(p, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double")
