@@ -3,6 +3,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
+from accordium.llm import lm
 from accordium.llm.common import texts_of
 from accordium.llm.labelled import filtered
 
@@ -35,3 +36,19 @@ def test_filters_copy_a_batch_by_slices():
         tracemalloc.stop()
     assert whole > 30_000_000 and peak < whole / 3
     assert 3000 <= rows <= 3100 and seen == [t and t[:12] for t in texts_of(batch)]
+
+
+def test_groups_are_scored_in_bounded_memory():
+    rng = np.random.default_rng(5)
+    names = [b"w%d" % k for k in range(250_000)] + [b""]
+    seq = np.concatenate([np.concatenate([part, [250_000]]) for part in np.split(rng.permutation(np.arange(500_000) % 250_000), 500)]).astype(np.int32)
+    tokens, held = np.full(500, 1001), np.zeros(500, bool)
+    train = np.bincount(seq, minlength=len(names))
+    tracemalloc.start()
+    try:
+        bits = lm.group_bits(seq, tokens, held, names, train, train, int(train.sum()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(bits) == len(seq) and (bits > 0).all()
+    assert peak < 190_000_000
