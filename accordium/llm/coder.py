@@ -94,11 +94,11 @@ class _Model:
         return self.a, ((4096 - self.a) * self.vb) >> 12
 
     def update(self, x: np.ndarray, ok2: np.ndarray, ok1: np.ndarray) -> None:
-        error = np.where(ok2, 4095, 0) - self.a
+        error = ok2 * np.int64(4095) - self.a
         self.w2 += (self.s2 * error) >> 9
         self.w1 += (self.s1 * error) >> 9
         self.w0 += (self.s0 * error) >> 10
-        self.q1[self.j1] = np.where(ok2, self.vb, self.vb + ((np.where(ok1, 4095, 0) - self.vb) >> 5))
+        self.q1[self.j1] = np.where(ok2, self.vb, self.vb + ((ok1 * np.int64(4095) - self.vb) >> 5))
         fresh = (x << 4) | 2
         self.t2[self.i2] = np.where(ok2, np.minimum(self.e2 + 2, self.e2 | 14), fresh).astype(np.int32)
         self.t1[self.i1] = np.where(ok1, np.minimum(self.e1 + 2, self.e1 | 14), fresh).astype(np.int32)
@@ -112,7 +112,7 @@ def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if int(ids.max()) < 1 << 24:
         counts = np.bincount(ids)
         used = np.flatnonzero(counts)
-        place = np.zeros(len(counts), np.int64)
+        place = np.zeros(len(counts), np.int32)
         place[used] = np.arange(len(used))
         return used, place.take(ids), counts[used]
     return np.unique(ids, return_inverse=True, return_counts=True)
@@ -128,14 +128,16 @@ def encode(ids: np.ndarray) -> bytes:
     order0 = _Order0.of(counts)
     blocks = -(-len(ids) // BLOCK)
     length = -(-len(ids) // blocks)
-    columns = np.ascontiguousarray(np.concatenate([local, np.full(blocks * length - len(ids), local[-1])]).reshape(blocks, length).T)
+    columns = np.ascontiguousarray(np.concatenate([local, np.full(blocks * length - len(ids), local[-1], local.dtype)]).reshape(blocks, length).T)
+    del local
     model = _Model(blocks, order0)
     low, width = np.zeros(blocks, U), np.full(blocks, 0xFFFFFFFFFFFFFFFF, U)
     room = length + 4  # an id takes at most one digit of 32 bits
     digits, pos = np.zeros(blocks * room, np.uint32), np.arange(blocks, dtype=np.int64) * room + 1
     carries: list[np.ndarray] = []
     shift0 = U(order0.bits)
-    for x in columns:
+    for column in columns:
+        x = column.astype(np.int64)
         a, b = model.predict()
         ok2, ok1 = model.p2 == x, model.p1 == x
         unit = width >> U(12)
@@ -168,7 +170,7 @@ def encode(ids: np.ndarray) -> bytes:
             digits[up] = total & 0xFFFFFFFF
             up = up[total >> 32 > 0] - 1
     head = zlib.compress(np.diff(used, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() + order0.shares.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-    raw, table, body = ids.astype("<u4"), [], []
+    raw, table, body = ids.astype("<u4", copy=False), [], []
     for i in range(blocks):
         stream = digits[i * room + 1 : pos[i]].astype("<u4").tobytes()
         table.append(ENTRY.pack(len(stream), crc32(raw[i * length : (i + 1) * length].tobytes())))

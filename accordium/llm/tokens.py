@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import gc
 import os
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 from zlib import crc32
 
@@ -26,11 +25,11 @@ from .common import LOWER, bytes_of, offsets, one_list, slices_of, written
 
 SEGMENT = 6_000_000
 END = 1
-#: Pieces of text whose ids a worker remembers; it starts anew beyond that.
-REMEMBERED = 700_000
+#: Pieces of text, and words in them, whose ids a worker remembers; it starts anew beyond that.
+REMEMBERED = 1_300_000
 #: Letters that a word must consist of to be given to the tokenizer's merges at once: lower case, one byte in Latin-1, so that
 #: no normalisation changes them; then signs that are never part of a word. Used only where probes show that it changes nothing.
-_PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-^`{-~]*)")
+_PLAIN = "^(?P<word>[a-z\u00df-\u00f6\u00f8-\u00ff]+)(?P<signs>[!-&(-/:-@\\[-^`{-~]*)$"
 _PROBES = ("Probe, of  Words:\n\there's (some) text; it isn't LONG...", "don't stop-here a1b22c e-mail x_y 3.14 ---- $$$ r\u00e9sum\u00e9, \u00c4rger na\u00efve stra\u00dfe caf\u00e9!!")
 #: Bytes of text that are looked up together.
 TOGETHER = 5_000_000
@@ -62,12 +61,12 @@ class Encoder:
         if self.apart:
             lowered = [p.encode().translate(LOWER).decode() for p in pieces]
             self.lower = self._plain(pieces) == self._plain(lowered)
-            self.fast = self.lower and self._fast(lowered) == self._plain(lowered)
+            self.fast = self.lower and self._remembered(lowered) == self._plain(lowered)
+            self.forget()
 
     def forget(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.int64), 0
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
@@ -76,40 +75,19 @@ class Encoder:
             out += [e.ids for e in self.tokenizer.encode_batch_fast(texts[a : a + 10_000], add_special_tokens=False)]
         return out
 
-    def _fast(self, pieces: list[str]) -> list[list[int]]:
-        """A plain word goes to the merges directly, signs behind it are encoded once; other pieces are encoded as they are."""
-        out: list[list[int] | None] = [None] * len(pieces)
-        parts, merge, rest = self.parts, self.tokenizer.model.tokenize, []
-        for i, p in enumerate(pieces):
-            m = _PLAIN.fullmatch(p)
-            if m is None:
-                rest.append(i)
-                continue
-            word, signs = m.groups()
-            ids = parts.get(word)
-            if ids is None:
-                ids = parts[word] = [t.id for t in merge(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LEVEL))]
-            if signs:
-                tail = parts.get(signs)
-                if tail is None:
-                    tail = parts[signs] = self._plain([signs])[0]
-                ids = ids + tail
-            out[i] = ids
-        for i, ids in zip(rest, self._plain([pieces[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+    def _remembered(self, pieces: list[str]) -> list[list[int]]:
+        names = [p.encode() for p in pieces]
+        self._learn(list(dict.fromkeys(names)))
+        found = [self.number[p] for p in names]
+        return [self.flat[self.begin[k] : self.begin[k] + self.size[k]].tolist() for k in found]
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode() for p in pieces]
-        gc.disable()  # many small lists that stay
-        try:
-            found = (self._fast if self.fast else self._plain)(texts)
-        finally:
-            gc.enable()
+    def _merged(self, words: list[bytes]) -> list[list[int]]:
+        merge = self.tokenizer.model.tokenize
+        return [[t.id for t in merge(w.decode() if w.isascii() else w.decode("latin-1").translate(_BYTE_LEVEL))] for w in words]
+
+    def _keep(self, pieces: list[bytes], size: np.ndarray, ids: np.ndarray) -> None:
         first = len(self.number)
         self.number.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, int(size.sum()))
         while len(self.size) < first + len(pieces):
             self.begin, self.size = (np.concatenate([v, np.zeros_like(v)]) for v in (self.begin, self.size))
         while len(self.flat) < self.used + len(ids):
@@ -119,6 +97,45 @@ class Encoder:
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
 
+    def _keep_lists(self, pieces: list[bytes], encode: Callable[[list], list[list[int]]], texts: list) -> None:
+        gc.disable()  # many small lists
+        try:
+            found = encode(texts)
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            self._keep(pieces, size, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())))
+        finally:
+            gc.enable()
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Remembers new pieces, without repeats. A plain word goes to the merges directly, once with whatever signs it stands; other pieces are encoded as they are."""
+        if not self.fast:
+            return self._keep_lists(pieces, self._plain, [p.decode() for p in pieces])
+        named = pa.array(pieces, pa.binary()).cast(pa.string())
+        parts = pc.extract_regex(named, _PLAIN)
+        plain = parts.is_valid()
+        rest = bytes_of(named.filter(pc.invert(plain)))
+        self._keep_lists(rest, self._plain, [p.decode() for p in rest])
+        words, signs = (pc.struct_field(parts, k).filter(plain).dictionary_encode() for k in (0, 1))
+        names, tails = bytes_of(words.dictionary), bytes_of(signs.dictionary)
+        new = [w for w in names if w not in self.number]
+        self._keep_lists(new, self._merged, new)
+        new = [t for t in tails if t not in self.number]
+        self._keep_lists(new, self._plain, [t.decode() for t in new])
+        tail = signs.indices.to_numpy()
+        both = np.flatnonzero(np.array([len(t) > 0 for t in tails], bool)[tail])
+        if len(both):
+            ends = [np.array([self.number[n] for n in known], np.int64)[v.indices.to_numpy()[both]] for known, v in ((names, words), (tails, signs))]
+            size = self.size.take(np.stack(ends, axis=1).reshape(-1))
+            self._keep(bytes_of(named.filter(plain).take(pa.array(both))), size.reshape(-1, 2).sum(axis=1), self._ids(np.stack(ends, axis=1).reshape(-1), size))
+        return None
+
+    def _ids(self, number: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The ids of some remembered pieces, one after the other."""
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1]) if len(ends) else 0)
+        at += np.repeat(self.begin.take(number) - (ends - size), size)
+        return self.flat.take(at)
+
     def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = self._plain([t or "" for t in texts.to_pylist()])
         n = np.fromiter(map(len, found), np.int64, len(found))
@@ -137,11 +154,8 @@ class Encoder:
             found = list(map(self.number.__getitem__, names))
         number = np.array(found, np.int64).take(coded.indices.to_numpy())
         size = self.size.take(number)
-        ends = np.cumsum(size)
-        at = np.arange(int(ends[-1]) if len(ends) else 0)
-        at += np.repeat(self.begin.take(number) - (ends - size), size)
         edges = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
-        return self.flat.take(at), np.diff(np.concatenate([[0], ends])[edges])
+        return self._ids(number, size), np.diff(offsets(size)[edges])
 
     def _lowered(self, pieces: pa.Array) -> pa.Array:
         """Pieces in lower case where that can't change their ids: letters with marks may be composed in one case only."""
@@ -154,7 +168,7 @@ class Encoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with END behind, and their numbers; a null text is an empty one."""
         ids, n = (self._by_pieces if self.apart else self._whole)(texts)
-        out = np.full(len(ids) + len(n), END, np.int64)
+        out = np.full(len(ids) + len(n), END, np.uint32)
         out[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
         return out, n + 1
 
@@ -196,7 +210,7 @@ def _segments(path: str, segment: int, id_type: pa.DataType):
             texts = batch.column(batch.schema.get_field_index("text"))
             for a, b in slices_of(texts, TOGETHER):
                 got, n = encode(texts.slice(a, b - a))
-                ids.append(got.astype(np.uint32))
+                ids.append(got)
                 lengths.append(n)
                 docs.append(batch.column(0).slice(a, b - a))
                 if sum(map(len, ids)) >= segment:

@@ -54,3 +54,15 @@ def test_pipeline_of_empty_tables(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
+
+
+def test_words_are_merged_once_with_whatever_signs(monkeypatch):
+    encode = tokens.Encoder(tokens.default_tokenizer())
+    merged, merge = [], encode._merged
+    monkeypatch.setattr(encode, "_merged", lambda words: (merged.extend(words), merge(words))[1])
+    texts = ["Wordless, wordless. (wordless) wordless!!", None, "straße, straße; naïve", " , 12ab wordless.", "WORDLESS --", ""]
+    for column in (pa.array(texts), pa.array(texts[::-1]), pa.array([], pa.string())):
+        ids, n = encode(column)
+        want = [[*encode.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in column.to_pylist()]
+        assert ids.tolist() == [i for w in want for i in w] and n.tolist() == [len(w) for w in want]
+    assert encode.fast and sorted(merged) == sorted(w.encode() for w in ("wordless", "straße", "naïve"))
